@@ -18,7 +18,7 @@ from ..plans.preprocess import preprocess
 from ..plans.scoring import prediction_export, score_requests
 from ..schema import PHENOLOGY_BANDS
 from ..sources.readers import union_extracts
-from ..sources.shared import shared_folder
+from ..sources.shared import shared_folder, stored
 from ..sources.writers import summarise, summarise_labels
 from ..streaming import jobs
 from . import tables as t
@@ -422,8 +422,8 @@ def _training(spark, d, kind):
 
 
 def _fitted(spark, d, model_type, task, **params):
-    data = _training(spark, d, task)
-    return train.train_model(data, model_type, task, **params), data
+    data = stored(_training(spark, d, task), "dataset")
+    return train.train_model(data, model_type, task, store=False, **params), data
 
 
 def model_rf_cls(spark, d):

@@ -20,6 +20,14 @@ def null_if_nan(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _short(degrees: Column) -> Column:
+    """Four decimals, half to even, printed without needless zeros."""
+    rounded = F.rint(degrees * 10000) / 10000
+    # a cast prints numbers under a thousandth with an exponent
+    tiny = (F.abs(rounded) < 0.001) & (rounded != 0)
+    return F.when(tiny, F.format_string("%.4f", rounded)).otherwise(rounded.cast("string"))
+
+
 def location_key(latitude: Column, longitude: Column, style: str = "canonical") -> Column:
     """``canonical`` prints four decimals; ``compact`` prints the half-even rounded doubles."""
     if style == "canonical":
@@ -27,8 +35,7 @@ def location_key(latitude: Column, longitude: Column, style: str = "canonical")
         key = F.format_string("%.4f_%.4f", latitude, longitude)
         return F.when(latitude.isNotNull() & longitude.isNotNull(), key)
     if style == "compact":
-        parts = [F.bround(c, 4).cast("string") for c in (latitude, longitude)]
-        return F.concat(parts[0], F.lit("_"), parts[1])
+        return F.concat(_short(latitude), F.lit("_"), _short(longitude))
     raise ValueError(f"unknown key style: {style}")
 
 

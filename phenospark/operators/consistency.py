@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION, RAW_VALUE
-from .slices import SLICE, SLICE_KEY, with_slices
+from .slices import SLICE, SLICE_KEY, needs_slices, with_slices
 
 MIN_ROWS = 3
 
@@ -35,37 +35,38 @@ def consistency_filter(
     tie_break: Sequence[str] = (),
     drop: bool = True,
     one_row_per_date: bool = False,
-    **slicing,
+    **hot,
 ) -> DataFrame:
     """Null (and by default drop) values more than ``threshold`` away from the previous
     value and from the mean of the surrounding ``window`` rows.
 
-    ``tie_break`` orders rows of one date.  Rows of a location are worked on slice by
-    slice, each slice seeing the ``window // 2`` rows next to it, so no task gets a
-    whole location.  ``one_row_per_date`` says the calendar already bounds a location
-    (a resampled series); one plain window does then.
+    ``tie_break`` orders rows of one date.  Where a location has too many rows for one
+    task, its rows are worked on slice by slice, each slice seeing the ``window // 2``
+    rows next to it; otherwise one plain window per location does.  Finding that out
+    takes a narrow pass, unless ``one_row_per_date`` says that the calendar already
+    bounds a location (a resampled series).
     """
     half = window // 2
     if half == 0:
         return df.dropna(subset=[value]) if drop else df
     order = [DATE, *tie_break, value]
-    if one_row_per_date:
+    if one_row_per_date or not needs_slices(df, **hot):
         w = Window.partitionBy(LOCATION).orderBy(*order)
         rows = F.count(F.lit(1)).over(Window.partitionBy(LOCATION))
         out = df.withColumn(value, _judge(
             value, lambda o: F.lag(value, -o).over(w), half, threshold, rows
         ))
     else:
-        out = _filter_sliced(df, value, half, threshold, order, slicing)
+        out = _filter_sliced(df, value, half, threshold, order, hot)
     return out.dropna(subset=[value]) if drop else out
 
 
 def _filter_sliced(
-    df: DataFrame, value: str, half: int, threshold: float, order: list[str], slicing: dict
+    df: DataFrame, value: str, half: int, threshold: float, order: list[str], hot: dict
 ) -> DataFrame:
     inside = Window.partitionBy(*SLICE_KEY)
     w = inside.orderBy(*order)
-    rows = with_slices(df, **slicing).withColumns({
+    rows = with_slices(df, **hot).withColumns({
         "_pos": F.row_number().over(w),
         "_rows": F.count(F.lit(1)).over(inside),
     })

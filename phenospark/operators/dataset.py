@@ -13,7 +13,7 @@ KEY = (LOCATION, "year")
 # Columns that are never model inputs.
 NOT_FEATURES = (
     LOCATION, "latitude", "longitude", DATE, RAW_VALUE, SMOOTH_VALUE, "year",
-    "label_quality_score", "bloom_label", "onset_date", "onset_doy",
+    "label_quality_score", "bloom_label", "onset_date", "onset_doy", "fold",
 )
 
 

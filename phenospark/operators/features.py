@@ -43,19 +43,23 @@ def rolling_columns(
         "max": F.max,
         "slope": lambda v: F.regr_slope(F.col(v), F.col(position)),
     }
+    frames = {n: _trailing(n) for n in windows}
     return {
-        f"ndvi_{s}_{n}": makers[s](value).over(_trailing(n)) for n in windows for s in stats
+        f"ndvi_{s}_{n}": makers[s](value).over(frame)
+        for n, frame in frames.items() for s in stats
     }
 
 
 def lag_columns(value: str = SMOOTH_VALUE, lags: Sequence[int] = PERIODS) -> dict[str, Column]:
-    return {f"ndvi_lag_{k}": F.lag(value, k).over(_along()) for k in lags}
+    w = _along()
+    return {f"ndvi_lag_{k}": F.lag(value, k).over(w) for k in lags}
 
 
 def difference_columns(
     value: str = SMOOTH_VALUE, periods: Sequence[int] = PERIODS
 ) -> dict[str, Column]:
-    return {f"ndvi_diff_{k}": F.col(value) - F.lag(value, k).over(_along()) for k in periods}
+    w = _along()
+    return {f"ndvi_diff_{k}": F.col(value) - F.lag(value, k).over(w) for k in periods}
 
 
 def peak_centre(value: str = SMOOTH_VALUE) -> Column:
@@ -154,16 +158,23 @@ def all_features(
 ) -> DataFrame:
     """The full feature table: 47 columns at the defaults, sparse rows dropped."""
     require_columns(df, PROCESSED_REQUIRED)
-    levels = df.withColumns(calendar.calendar_columns(F.col(DATE))).withColumns({
+    # the windows see the narrow series; row-local columns are added after the sort
+    wide = df.withColumns({
         "_pos": F.row_number().over(_along()), "_centre": peak_centre(value),
-    }).withColumns({
+    })
+    by_row = {
         **rolling_columns(value, windows),
         **lag_columns(value, lags),
         **difference_columns(value, periods),
         **peak_columns(value),
+    }
+    wide = wide.withColumns(by_row).withColumns({
+        **calendar.calendar_columns(F.col(DATE)),
         **values.climate_columns(F.col("latitude")),
-    }).drop("_pos", "_centre")
-    return drop_sparse(levels.withColumns(interaction_columns(levels.columns)))
+    })
+    dates, place = calendar.calendar_columns(F.col(DATE)), values.climate_columns(F.lit(0.0))
+    ordered = wide.select(*df.columns, *dates, *by_row, *place)
+    return drop_sparse(ordered.withColumns(interaction_columns(ordered.columns)))
 
 
 def scoring_features(df: DataFrame, value: str = SMOOTH_VALUE) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .hot import PARTS, hot_groups
+
 HOT_SHARE = 1e-4
 HOT_ROWS = 100_000
 
@@ -16,37 +18,31 @@ def salted_join(
     right: DataFrame,
     key: str,
     spread_by: Sequence[str],
-    condition=None,
+    condition: Column | None = None,
     how: str = "left",
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Join on ``key`` (and ``condition``), cutting each hot key's left rows into parts.
+    """Join on ``key`` (and ``condition`` between aliases ``l`` and ``r``), cutting the
+    left rows of each hot key into parts.
 
-    A key is hot above ``share`` of the left rows, so at most ``1 / share`` keys are, and
-    the list of them is small enough to broadcast whatever the table's size.  Right rows
-    of a hot key are repeated once per part.  The parts come from a hash of
-    ``spread_by``, which should tell left rows apart.
+    Right rows of a hot key are repeated once per part.  The parts come from a hash of
+    ``spread_by``, which should tell left rows apart.  Without a hot key it is a plain
+    join.
     """
-    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_key_rows"))
-    total = counts.agg(F.sum("_key_rows")).scalar()
-    limit = F.greatest(F.lit(min_rows).cast("double"), total * share)
-    hot = F.broadcast(
-        counts.where(F.col("_key_rows") > limit).select(
-            key, F.ceil(F.col("_key_rows") / limit).alias("_parts")
+    names = [f"l.{c}" for c in left.columns]
+    names += [f"r.{c}" for c in right.columns if c not in left.columns]
+    hot = hot_groups(left, [key], min_rows, share)
+    on = F.col(f"l.{key}") == F.col(f"r.{key}")
+    if hot is not None:
+        parts = F.coalesce(PARTS, F.lit(1).cast("long"))
+        left = left.join(F.broadcast(hot), key, "left").withColumn(
+            "_part", F.pmod(F.xxhash64(*spread_by), parts)
+        )
+        right = right.join(F.broadcast(hot), key, "left").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
         )
-    )
-    parts = F.coalesce("_parts", F.lit(1).cast("long"))
-    l_side = left.join(hot, key, "left").withColumn(
-        "_part", F.pmod(F.xxhash64(*spread_by), parts)
-    ).drop("_parts")
-    r_side = right.join(hot, key, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
-    ).drop("_parts")
-    a, b = l_side.alias("l"), r_side.alias("r")
-    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l._part") == F.col("r._part"))
-    joined = a.join(b, on if condition is None else on & condition, how)
-    return joined.select(
-        *[f"l.{c}" for c in left.columns],
-        *[f"r.{c}" for c in right.columns if c not in left.columns],
-    )
+        on = on & (F.col("l._part") == F.col("r._part"))
+    if condition is not None:
+        on = on & condition
+    return left.alias("l").join(right.alias("r"), on, how).select(*names)

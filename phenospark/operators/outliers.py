@@ -2,42 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schema import LOCATION, RAW_VALUE
-from .slices import SLICE, SLICE_KEY, with_location_stats, with_slices
+from ..schema import DATE, LOCATION, RAW_VALUE
+from .slices import SLICE_KEY, needs_slices, slice_stats, with_slices
 
-_STATS = ("location_rows", "group_rows", "group_valid", "group_mean", "group_std")
+
+def _with_stats(df: DataFrame, value: str, group: tuple[str, ...], hot: dict) -> DataFrame:
+    """Rows with their group's statistics: by window where every location fits a task,
+    else slice by slice."""
+    if needs_slices(df, **hot):
+        sliced = with_slices(df, **hot)
+        return sliced.join(slice_stats(sliced, value, group), list(SLICE_KEY))
+    part = Window.partitionBy(*group)
+    return df.withColumn("calendar_month", F.month(DATE)).withColumns({
+        "location_rows": F.count(F.lit(1)).over(Window.partitionBy(LOCATION)),
+        "group_rows": F.count(F.lit(1)).over(part),
+        "group_valid": F.count(value).over(part),
+        "group_mean": F.avg(value).over(part),
+        "group_std": F.stddev_pop(value).over(part),
+    })
 
 
 def _flag(
     df: DataFrame, value: str, group: tuple[str, ...], guard: Column, threshold: float,
-    name: str, slicing: dict,
+    name: str, hot: dict,
 ) -> DataFrame:
-    sliced = with_slices(df, **slicing)
-    stats = with_location_stats(sliced, value, group)
     z = F.abs(F.try_divide(F.col(value) - F.col("group_mean"), F.col("group_std")))
     flag = F.coalesce(guard & (F.col("group_std") != 0) & (z > threshold), F.lit(False))
-    return (
-        sliced.join(stats, list(SLICE_KEY))
-        .withColumn(name, flag)
-        .drop(*SLICE, *_STATS)
-    )
+    return _with_stats(df, value, group, hot).select(*df.columns, flag.alias(name))
 
 
 def flag_global_outliers(
     df: DataFrame, value: str = RAW_VALUE, threshold: float = 3.0,
-    name: str = "is_outlier", **slicing,
+    name: str = "is_outlier", **hot,
 ) -> DataFrame:
     """|z| above the threshold within the location; fewer than 3 rows are never flagged."""
     guard = F.col("location_rows") >= 3
-    return _flag(df, value, (LOCATION,), guard, threshold, name, slicing)
+    return _flag(df, value, (LOCATION,), guard, threshold, name, hot)
 
 
 def flag_seasonal_outliers(
     df: DataFrame, value: str = RAW_VALUE, threshold: float = 2.0,
-    name: str = "is_seasonal_outlier", **slicing,
+    name: str = "is_seasonal_outlier", **hot,
 ) -> DataFrame:
     """|z| above the threshold among the location's values of the same calendar month.
 
@@ -48,4 +56,4 @@ def flag_seasonal_outliers(
         & (F.col("group_rows") >= 3)
         & (F.col("group_valid") >= 3)
     )
-    return _flag(df, value, (LOCATION, "_moy"), guard, threshold, name, slicing)
+    return _flag(df, value, (LOCATION, "calendar_month"), guard, threshold, name, hot)

@@ -1,10 +1,8 @@
 """Slices: bounded, date-contiguous pieces of a location's rows.
 
-Raw observations have no bound on rows per location, so a window over one
-location could put any share of the table into one task.  A slice is a
-(location, month) cell; a cell that alone holds more than ``share`` of the table
-(or ``min_rows``, if that is more) is cut again by day and by a hash of its rows.
-At most ``1 / share`` cells can be that full, which bounds the broadcast list.
+Raw observations have no bound on rows per location, so a window over one location
+could put any share of the table into one task.  A slice is a (location, month) cell; a
+cell that is itself too full is cut again by day and by a hash of its rows.
 """
 
 from __future__ import annotations
@@ -15,59 +13,55 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION
+from .hot import HOT_ROWS, HOT_SHARE, PARTS, hot_groups
 
 SLICE = ("slice_month", "slice_day", "slice_part")
 SLICE_KEY = (LOCATION, *SLICE)
-HOT_SHARE = 1e-5
-HOT_ROWS = 1_000_000
+
+
+def needs_slices(df: DataFrame, min_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> bool:
+    """Whether some location has too many rows for one task (one narrow pass)."""
+    return hot_groups(df, [LOCATION], min_rows, share) is not None
 
 
 def with_slices(
     df: DataFrame,
     spread_by: Sequence[str] | None = None,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
+    share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add the slice columns.  Rows of a full cell are spread by a hash of ``spread_by``
-    (every column when not given), so exact copies part only if a column such as a
-    file row number tells them apart."""
+    (every column when not given), so exact copies part only if a column such as a file
+    row number tells them apart."""
     spread = list(spread_by or df.columns)
-    cells = (
-        df.groupBy(LOCATION, F.trunc(DATE, "month").alias("slice_month"))
-        .agg(F.count(F.lit(1)).alias("cell_rows"))
-    )
-    total = cells.agg(F.sum("cell_rows")).scalar()
-    limit = F.greatest(F.lit(min_rows).cast("double"), total * share)
-    # more rows than `share` of the table: at most 1/share cells qualify
-    full = cells.where(F.col("cell_rows") > limit).select(
-        LOCATION, "slice_month", F.ceil(F.col("cell_rows") / limit).alias("cell_parts")
-    )
-    out = df.withColumn("slice_month", F.trunc(DATE, "month")).join(
-        F.broadcast(full), [LOCATION, "slice_month"], "left"
-    )
-    part = F.pmod(F.xxhash64(*spread), F.col("cell_parts"))
+    out = df.withColumn("slice_month", F.trunc(DATE, "month"))
+    full = hot_groups(out, [LOCATION, "slice_month"], min_rows, share)
+    if full is None:
+        return out.withColumns({
+            "slice_day": F.col("slice_month"), "slice_part": F.lit(0).cast("long"),
+        })
+    out = out.join(F.broadcast(full), [LOCATION, "slice_month"], "left")
+    part = F.pmod(F.xxhash64(*spread), F.col(PARTS))
     return out.withColumns({
-        "slice_day": F.when(F.col("cell_parts").isNotNull(), F.col(DATE)).otherwise(
+        "slice_day": F.when(F.col(PARTS).isNotNull(), F.col(DATE)).otherwise(
             F.col("slice_month")
         ),
         "slice_part": F.coalesce(part, F.lit(0).cast("long")),
-    }).drop("cell_parts")
+    }).drop(PARTS)
 
 
-def with_location_stats(
-    sliced: DataFrame, value: str, group: Sequence[str]
-) -> DataFrame:
+def slice_stats(sliced: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
     """Per slice: row count, valid count, mean and population deviation of its ``group``.
 
-    Slices reduce map-side; the groups are then put together from slices, whose
-    number per location is bounded by the calendar.
+    Slices reduce map-side; the groups are then put together from slices, whose number
+    per location is bounded by the calendar.
     """
     by_slice = sliced.groupBy(*SLICE_KEY).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count(value).alias("_n"),
         F.coalesce(F.avg(value), F.lit(0.0)).alias("_mean"),
         F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("_m2"),
-    ).withColumn("_moy", F.month("slice_month"))
+    ).withColumn("calendar_month", F.month("slice_month"))
     whole, part = Window.partitionBy(LOCATION), Window.partitionBy(*group)
     means = by_slice.withColumns({
         "location_rows": F.sum("_rows").over(whole),

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION
+from ..sources.shared import stored
 from . import metrics
 from .dataset import feature_columns
 
@@ -95,12 +96,11 @@ def model_input(
     columns = {
         c: F.col(c).cast("double") if c in df.columns else F.lit(0.0) for c in features
     }
-    out = df.select(
+    return df.select(
         *[c for c in keep if c not in columns],
         *([F.col(target).cast("double").alias("label")] if target else []),
         *[e.alias(c) for c, e in columns.items()],
     )
-    return out
 
 
 def train_model(
@@ -111,17 +111,22 @@ def train_model(
     grid: dict[str, list] | None = None,
     fold_by: Sequence[str] = (LOCATION, DATE),
     parallelism: int = 4,
+    store: bool = True,
     **params,
 ) -> BloomModel:
     """Fit, with a cross-validated search when a ``grid`` is given (see ``GRIDS``).
 
     Folds come from a hash of ``fold_by``, so a recomputed partition lands in the same
     fold; ``fold_by=("location_id",)`` keeps a location's rows together.  The metrics
-    are in-sample; the search's score is held out.
+    are in-sample; the search's score is held out.  Training reads its table many times:
+    ``store=False`` says the dataset is a stored table already.
     """
-    target, features = TARGETS[task], usable_features(dataset)
+    target, names = TARGETS[task], feature_columns(dataset.columns)
+    table = model_input(dataset, names, target, keep=fold_by)
+    if store:
+        table = stored(table, "training")
+    features = usable_features(table, names)
     pipeline = model_pipeline(model_type, task, features, **params)
-    table = model_input(dataset, features, target, keep=fold_by)
     best_params: dict[str, float] = {}
     cv_score = None
     if grid is None:
@@ -144,7 +149,7 @@ def train_model(
         best = fitted.stages[-1]
         best_params = {name: best.getOrDefault(name) for name in grid}
     out = BloomModel(fitted, features, task, model_type, best_params=best_params)
-    out.metrics = in_sample_metrics(out, dataset)
+    out.metrics = in_sample_metrics(out, table)
     if cv_score is not None:
         out.metrics["cv_score"] = cv_score
     return out
@@ -153,6 +158,8 @@ def train_model(
 def predict(model: BloomModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, ``label`` if there is a target, ``prediction`` and ``score``."""
     target = TARGETS[model.task]
+    if "label" in df.columns:
+        target = "label"
     has_target = target in df.columns
     # kept columns that are features too travel under another name
     kept = [F.col(c).alias(f"_keep_{c}") for c in keep if c in df.columns]
@@ -174,7 +181,7 @@ def predict(model: BloomModel, df: DataFrame, keep: Sequence[str] = ()) -> DataF
 
 
 def in_sample_metrics(model: BloomModel, dataset: DataFrame) -> dict[str, float]:
-    scored = predict(model, dataset)
+    scored = stored(predict(model, dataset), "scored")
     if model.task == "regression":
         return metrics.regression_metrics(scored).first().asDict()
     plain = metrics.classification_metrics(scored).first().asDict()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -19,3 +19,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="phenospark-")
     return f"{base.rstrip('/')}/phenospark/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write the table to the shared folder and read it back.
+
+    For tables that several passes read: nothing upstream runs again, and a lost executor
+    costs no more than a re-read.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
