@@ -28,13 +28,13 @@ KEY = "printf('%.4f_%.4f', latitude, longitude)"
 RAW = f"""raw AS (
   SELECT {LAT.format(k='l_suppkey')} AS latitude, {LON.format(k='l_suppkey')} AS longitude,
          CAST(l_shipdate AS DATE) AS date,
-         l_discount * 5 + l_extendedprice / 250000 AS ndvi_raw,
+         l_discount * 5 + l_extendedprice / 249971 AS ndvi_raw,
          l_linenumber % 4 AS quality, {TIES}
   FROM lineitem)"""
 OBS = f"{RAW}, obs AS (SELECT *, {KEY} AS location_id FROM raw)"
 EVENTS = f"""ev0 AS (
   SELECT {LAT.format(k='user_id')} AS latitude, {LON.format(k='user_id')} AS longitude,
-         CAST(ts AS DATE) AS date, value / 500 AS ndvi_raw, event_id % 4 AS quality, event_id
+         CAST(ts AS DATE) AS date, value / 499 AS ndvi_raw, event_id % 4 AS quality, event_id
   FROM events), ev AS (SELECT *, {KEY} AS location_id FROM ev0)"""
 
 
@@ -558,7 +558,7 @@ cleaned AS (
   FROM stored WHERE latitude IS NOT NULL AND v IS NOT NULL)"""
     short = "(round_even(({0}) * 10000, 0) / 10000)"
     compact = f"""{RAW}, moved AS (
-  SELECT CAST({short.format('latitude * 0.9 + l_partkey * 0.000125')} AS VARCHAR) || '_' ||
+  SELECT CAST({short.format('latitude * CAST(0.9 AS DOUBLE) + l_partkey * CAST(0.000125 AS DOUBLE)')} AS VARCHAR) || '_' ||
          CAST({short.format('longitude')} AS VARCHAR) AS location_id, ndvi_raw FROM raw),
 grouped AS (SELECT location_id, count(*) AS rows, avg(ndvi_raw) AS mean FROM moved GROUP BY 1)"""
     outlier = f"""{OBS}, s AS (
@@ -772,7 +772,7 @@ UNION ALL SELECT 1, 0, CAST(fn AS BIGINT) FROM c UNION ALL SELECT 1, 1, CAST(tp
   CAST(l_suppkey AS DOUBLE) AS latitude, CAST(l_partkey AS DOUBLE) AS longitude,
   round(l_discount * 100000 * 0.0001, 6) + 0.0 AS ndvi_raw FROM lineitem
 UNION ALL SELECT CAST(o_orderdate AS DATE), o_orderstatus, CAST(o_custkey AS DOUBLE),
-  CAST(o_orderkey AS DOUBLE), round(o_totalprice / 50 * 0.0001, 6) + 0.0 FROM orders""",
+  CAST(o_orderkey AS DOUBLE), round(o_totalprice / 53 * 0.0001, 6) + 0.0 FROM orders""",
         "summary": f"""WITH {MONTHLY}, {smoothed('monthly', 'sm', SAVGOL_5_2, 35)}
 SELECT count(*) AS records, count(DISTINCT location_id) AS locations, min(date) AS first_date,
        max(date) AS last_date, round(min(ndvi_smoothed), 6) + 0.0 AS lowest,

@@ -510,7 +510,7 @@ def union_normalise(spark, d):
         F.col("o_custkey").cast("double").alias("latitude"),
         F.col("o_orderkey").cast("double").alias("longitude"),
         F.col("o_orderdate").cast("date").alias("date"),
-        (F.col("o_totalprice") / 50).alias("ndvi_raw"),
+        (F.col("o_totalprice") / 53).alias("ndvi_raw"),
         F.col("o_orderstatus").alias("quality"),
     )
     return union_extracts([first, second])

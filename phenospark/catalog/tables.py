@@ -33,12 +33,12 @@ def _longitude(key: Column) -> Column:
 
 
 def raw_observations(lineitem: DataFrame) -> DataFrame:
-    """Supplier as place, ship date as date, a value in [0, 1) without many ties."""
+    """Supplier as place, ship date as date, a value in [0, 1) without ties."""
     return lineitem.select(
         _latitude(F.col("l_suppkey")).alias("latitude"),
         _longitude(F.col("l_suppkey")).alias("longitude"),
         F.col("l_shipdate").cast("date").alias("date"),
-        (F.col("l_discount") * 5 + F.col("l_extendedprice") / 250000).alias("ndvi_raw"),
+        (F.col("l_discount") * 5 + F.col("l_extendedprice") / 249971).alias("ndvi_raw"),
         (F.col("l_linenumber") % 4).alias("quality"),
         *TIES,
     )
@@ -70,7 +70,7 @@ def event_observations(events: DataFrame) -> DataFrame:
         _latitude(F.col("user_id")).alias("latitude"),
         _longitude(F.col("user_id")).alias("longitude"),
         F.col("ts").cast("date").alias("date"),
-        (F.col("value") / 500).alias("ndvi_raw"),
+        (F.col("value") / 499).alias("ndvi_raw"),
         (F.col("event_id") % 4).alias("quality"),
         "event_id",
     ))

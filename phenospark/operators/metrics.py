@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SCORE_PARTS = 256
+from ..sources.shared import stored
+
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 10_000
 
 
 def _count(test: Column) -> Column:
@@ -111,24 +118,47 @@ def confusion_table(
     ])).alias("c")).select("c.*")
 
 
+@dataclass(frozen=True)
+class ScoreSteps:
+    """Running counts per distinct score, highest first, and the totals."""
+
+    rows: DataFrame
+    positives: int
+    negatives: int
+
+
 def score_steps(
-    df: DataFrame, label: str = "label", score: str = "score", parts: int = SCORE_PARTS
-) -> DataFrame:
+    df: DataFrame, label: str = "label", score: str = "score",
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> ScoreSteps:
     """Per distinct score, its positives and negatives and those at or above it.
 
-    Scores are cut into ``parts`` ranges of about equally many distinct scores, so the
-    running sums are windows over a range plus the sum of the ranges above, and only
-    those range sums (at most ``parts + 1`` rows) meet in one task.
+    The counts per score are stored, since quantiles, range sums and running sums each
+    read them.  Scores are cut into ranges of about ``rows_per_range`` distinct ones; the
+    running sums are windows over a range plus the sums of the ranges above, and only
+    those range sums (at most ``MAX_RANGES`` rows) meet in one task.
     """
     y = F.col(label)
-    steps = df.where(F.col(score).isNotNull()).groupBy(score).agg(
-        _count(y == 1).alias("pos"), _count(y == 0).alias("neg")
-    )
-    shares = [i / parts for i in range(1, parts)]
-    cuts = steps.agg(F.percentile_approx(score, shares, 10 * parts)).scalar()
-    ranged = steps.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col(score)))
-    ).drop("_cuts")
+    steps = stored(
+        df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+            _count(y == 1).alias("pos"), _count(y == 0).alias("neg")
+        ),
+        "score-steps",
+    )
+    scores, pos, neg = steps.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
+    ).first()
+    ranges = max(1, min(MAX_RANGES, scores // rows_per_range))
+    cuts = sorted(set(steps.approxQuantile(
+        "threshold", [i / ranges for i in range(1, ranges)], 0.1 / ranges
+    ))) if ranges > 1 else []
+    if cuts:
+        edges = [-math.inf, *cuts, math.inf]
+        ranged = Bucketizer(
+            splits=edges, inputCol="threshold", outputCol="_range"
+        ).transform(steps)
+    else:
+        ranged = steps.withColumn("_range", F.lit(0.0))
     above = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("_range").agg(
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg")
@@ -137,27 +167,28 @@ def score_steps(
         F.coalesce(F.sum("_pos").over(above), F.lit(0)).alias("_pos_above"),
         F.coalesce(F.sum("_neg").over(above), F.lit(0)).alias("_neg_above"),
     )
-    inside = Window.partitionBy("_range").orderBy(F.desc(score)).rowsBetween(
+    inside = Window.partitionBy("_range").orderBy(F.desc("threshold")).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    return ranged.join(F.broadcast(offsets), "_range").select(
-        F.col(score).alias("threshold"), "pos", "neg",
+    rows = ranged.join(F.broadcast(offsets), "_range").select(
+        "threshold", "pos", "neg",
         (F.sum("pos").over(inside) + F.col("_pos_above")).alias("tp"),
         (F.sum("neg").over(inside) + F.col("_neg_above")).alias("fp"),
     )
+    return ScoreSteps(rows, pos, neg)
 
 
-def _with_totals(steps: DataFrame) -> DataFrame:
-    totals = steps.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    return steps.withColumn("_t", totals)
+def _share(count: Column, total: int) -> Column:
+    return count / F.lit(float(total)) if total else F.lit(None).cast("double")
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Every threshold's false and true positive rate; the (0, 0) start has no threshold."""
-    rated = _with_totals(score_steps(df, label, score)).select(
+    steps = score_steps(df, label, score)
+    rated = steps.rows.select(
         "threshold",
-        F.try_divide(F.col("fp"), F.col("_t.n")).alias("fpr"),
-        F.try_divide(F.col("tp"), F.col("_t.p")).alias("tpr"),
+        _share(F.col("fp"), steps.negatives).alias("fpr"),
+        _share(F.col("tp"), steps.positives).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
@@ -168,10 +199,11 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
 
 def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Every threshold's precision and recall, closed by the point (1, 0)."""
-    rated = _with_totals(score_steps(df, label, score)).select(
+    steps = score_steps(df, label, score)
+    rated = steps.rows.select(
         "threshold",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
-        F.try_divide(F.col("tp"), F.col("_t.p")).alias("recall"),
+        _share(F.col("tp"), steps.positives).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast("double").alias("threshold"),
@@ -186,18 +218,15 @@ def curve_areas(df: DataFrame, label: str = "label", score: str = "score") -> Da
     The ROC area equals the rank statistic with ties counted half; the precision-recall
     area runs along increasing recall, so it is positive.
     """
+    steps = score_steps(df, label, score)
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     earlier = tp + fp - pos - neg
     before = F.when(earlier > 0, F.try_divide(tp - pos, earlier)).otherwise(1.0)
-    summed = score_steps(df, label, score).agg(
-        F.sum(neg * (tp - pos / 2)).alias("_roc"),
-        F.sum(pos * (before + tp / (tp + fp)) / 2).alias("_pr"),
-        F.sum(pos).alias("_p"),
-        F.sum(neg).alias("_n"),
-    )
-    return summed.select(
-        F.try_divide(F.col("_roc"), F.col("_p") * F.col("_n")).alias("roc_auc"),
-        F.try_divide(F.col("_pr"), F.col("_p")).alias("pr_auc"),
+    roc = F.sum(neg * (tp - pos / 2))
+    pr = F.sum(pos * (before + tp / (tp + fp)) / 2)
+    return steps.rows.agg(
+        _share(roc, steps.positives * steps.negatives).alias("roc_auc"),
+        _share(pr, steps.positives if steps.negatives else 0).alias("pr_auc"),
     )
 
 
@@ -230,24 +259,20 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 30
     The highest residual falls in the last bin; when all are equal the range is one wide
     around them.
     """
-    low, high = F.min(residual), F.max(residual)
-    flat = low == high
-    ends = df.agg(F.struct(
-        F.when(flat, low - 0.5).otherwise(low).alias("low"),
-        F.when(flat, high + 0.5).otherwise(high).alias("high"),
-    )).scalar()
+    low, high = df.agg(F.min(residual), F.max(residual)).first()
+    if low is not None and low == high:
+        low, high = low - 0.5, high + 0.5
+    low, high = F.lit(low).cast("double"), F.lit(high).cast("double")
+    place = F.floor((F.col(residual) - low) / (high - low) * bins)
     placed = df.where(F.col(residual).isNotNull()).select(
-        F.col(residual).alias("r"), ends.alias("e")
-    ).select(F.least(
-        F.floor((F.col("r") - F.col("e.low")) / (F.col("e.high") - F.col("e.low")) * bins),
-        F.lit(bins - 1).cast("long"),
-    ).alias("bin"))
+        F.least(place, F.lit(bins - 1).cast("long")).alias("bin")
+    )
     counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
-    width = (F.col("e.high") - F.col("e.low")) / bins
-    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"), ends.alias("e"))
+    width = (high - low) / bins
+    every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        (F.col("e.low") + F.col("bin") * width).alias("bin_low"),
-        (F.col("e.low") + (F.col("bin") + 1) * width).alias("bin_high"),
+        (low + F.col("bin") * width).alias("bin_low"),
+        (low + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
     )
