@@ -387,7 +387,7 @@ def pr_points(spark, d):
 
 
 def evaluation_cls(spark, d):
-    return evaluation_metrics(_judged(spark, d), "classification")
+    return evaluation_metrics(stored(_judged(spark, d), "judged"), "classification")
 
 
 def _guessed(spark, d):

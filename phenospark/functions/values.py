@@ -28,11 +28,31 @@ def _short(degrees: Column) -> Column:
     return F.when(tiny, F.format_string("%.4f", rounded)).otherwise(rounded.cast("string"))
 
 
+def _fixed(degrees: Column) -> Column:
+    """Text of ``%.4f``, from whole numbers wherever rounding and sign are beyond doubt.
+
+    Formatting every row costs more than all the rest of cleaning; only values next to a
+    rounding tie, zeros and values off the globe still take that way.
+    """
+    scaled = F.abs(degrees) * 10000
+    units = F.floor(scaled + 0.5)
+    plain = (
+        (F.abs(scaled - F.floor(scaled) - 0.5) > 1e-6) & (degrees != 0) & (scaled < 1e8)
+    )
+    text = F.concat(
+        F.when(degrees < 0, "-").otherwise(""),
+        F.floor(units / 10000).cast("string"),
+        F.lit("."),
+        F.substring((units % 10000 + 10000).cast("string"), 2, 4),
+    )
+    return F.when(plain, text).otherwise(F.format_string("%.4f", degrees))
+
+
 def location_key(latitude: Column, longitude: Column, style: str = "canonical") -> Column:
     """``canonical`` prints four decimals; ``compact`` prints the half-even rounded doubles."""
     if style == "canonical":
         # format_string prints "null" for a missing coordinate; keep the key missing instead
-        key = F.format_string("%.4f_%.4f", latitude, longitude)
+        key = F.concat(_fixed(latitude), F.lit("_"), _fixed(longitude))
         return F.when(latitude.isNotNull() & longitude.isNotNull(), key)
     if style == "compact":
         return F.concat(_short(latitude), F.lit("_"), _short(longitude))

@@ -121,19 +121,37 @@ def spline_values(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
     return y[k] + t * (slope + t * (m[k] / 2.0 + t * (m[k + 1] - m[k]) / (6.0 * h[k])))
 
 
+def _spline_filled(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    ok = ~np.isnan(y)
+    if ok.sum() < 4 or ok.all():
+        return y
+    filled = y.copy()
+    filled[~ok] = spline_values(x[ok], y[ok], x[~ok])
+    return filled
+
+
 def _interpolate_cubic(df: DataFrame, value: str, axis: str) -> DataFrame:
-    """A spline needs the whole series at once: one grouped call per location."""
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_x")
-        y = pdf[value].to_numpy(dtype="float64", na_value=np.nan)
-        ok = ~np.isnan(y)
-        if ok.sum() >= 4 and not ok.all():
-            x = pdf["_x"].to_numpy()
-            y = y.copy()
-            y[~ok] = spline_values(x[ok], y[ok], x[~ok])
-            pdf[value] = y
-        return pdf
-
-    placed = df.withColumn("_x", _position(axis))
-    return placed.groupBy(LOCATION).applyInPandas(fill, placed.schema).drop("_x")
+    """A spline needs the whole series at once: one array per location, which the
+    calendar bounds, through one Arrow-batched function."""
+
+    @F.pandas_udf("array<double>")
+    def fill(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([
+            _spline_filled(np.asarray(x, dtype="float64"), np.asarray(y, dtype="float64"))
+            for x, y in zip(xs, ys)
+        ])
+
+    rest = [c for c in df.columns if c not in (LOCATION, value)]
+    row = F.struct("_x", F.col(value).alias("_v"), *rest)
+    packed = df.withColumn("_x", _position(axis)).groupBy(LOCATION).agg(
+        F.sort_array(F.collect_list(row)).alias("_rows")
+    )
+    filled = packed.withColumn("_filled", fill(F.col("_rows._x"), F.col("_rows._v")))
+    each = filled.select(
+        LOCATION, F.explode(F.arrays_zip("_rows", "_filled")).alias("_each")
+    )
+    value_or_null = F.when(~F.isnan("_each._filled"), F.col("_each._filled"))
+    return each.select(
+        LOCATION, *[F.col(f"_each._rows.{c}").alias(c) for c in rest],
+        value_or_null.alias(value),
+    ).select(*df.columns)

@@ -259,6 +259,7 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 30
     The highest residual falls in the last bin; when all are equal the range is one wide
     around them.
     """
+    df = stored(df.select(residual), "residuals")  # read for its ends, then for its bins
     low, high = df.agg(F.min(residual), F.max(residual)).first()
     if low is not None and low == high:
         low, high = low - 0.5, high + 0.5

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values
@@ -14,6 +14,13 @@ from ..operators.train import BloomModel, predict
 from ..schema import DATE, LOCATION, PREDICTIONS, RAW_VALUE, SMOOTH_VALUE
 
 REQUEST = "request_id"
+ANSWER_KEY = (REQUEST, LOCATION, "latitude", "longitude")
+
+
+def _keyed(requests: DataFrame) -> DataFrame:
+    return requests.where(coordinate_ok()).withColumn(
+        LOCATION, values.location_key(F.col("latitude"), F.col("longitude"))
+    )
 
 
 def requested_rows(requests: DataFrame, series: DataFrame) -> DataFrame:
@@ -23,14 +30,26 @@ def requested_rows(requests: DataFrame, series: DataFrame) -> DataFrame:
     location and date, so the rows of a request are bounded by its dates; a location
     that most requests ask for is cut into parts by request.
     """
-    keyed = requests.where(coordinate_ok()).withColumn(
-        LOCATION, values.location_key(F.col("latitude"), F.col("longitude"))
-    )
     columns = [c for c in (DATE, RAW_VALUE, SMOOTH_VALUE) if c in series.columns]
     within = F.col(f"r.{DATE}").between(F.col("l.start_date"), F.col("l.end_date"))
     return salted_join(
-        keyed, series.select(LOCATION, *columns), LOCATION, [REQUEST], within, "left"
+        _keyed(requests), series.select(LOCATION, *columns), LOCATION, [REQUEST], within, "left"
+    )
+
+
+def requested_series(requests: DataFrame, series: DataFrame) -> DataFrame:
+    """Each valid request with ``steps``, the (date, ndvi) of its range in date order.
+
+    One row per location meets the requests, so no request is ever spread over rows; the
+    calendar bounds the arrays.
+    """
+    step = F.struct(DATE, score.greenness(series).alias("ndvi"))
+    packed = series.groupBy(LOCATION).agg(F.sort_array(F.collect_list(step)).alias("steps"))
+    joined = salted_join(_keyed(requests), packed, LOCATION, [REQUEST], how="left")
+    within = F.filter(
+        "steps", lambda s: s[DATE].between(F.col("start_date"), F.col("end_date"))
     )
+    return joined.withColumn("steps", F.coalesce(within, F.array()))
 
 
 def request_features(rows: DataFrame) -> DataFrame:
@@ -41,10 +60,33 @@ def request_features(rows: DataFrame) -> DataFrame:
     return scoring_features(one_series).withColumn(LOCATION, F.col("_place")).drop("_place")
 
 
-def _answers(rows: DataFrame, onset: str = "probable") -> DataFrame:
+def _rule_answers(asked: DataFrame) -> DataFrame:
+    def predicted(step: Column) -> Column:
+        probability = values.rule_probability(step["ndvi"], F.month(step[DATE]))
+        return F.struct(
+            step[DATE].alias(DATE),
+            probability.alias("bloom_probability"),
+            values.rule_flag(probability).alias("bloom_predicted"),
+            step["ndvi"].alias("ndvi"),
+        )
+
+    answers = asked.withColumn(
+        "predictions", F.transform("steps", predicted).cast(PREDICTIONS)
+    )
+    p = F.col("predictions")
+    likely = F.filter(p, lambda x: x["bloom_probability"] > score.ONSET_LEVEL)
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x["bloom_probability"])
+    return answers.select(
+        *ANSWER_KEY, "predictions",
+        F.array_min(F.transform(likely, lambda x: x[DATE])).alias("predicted_onset_date"),
+        F.try_divide(total, F.size(p)).alias("confidence"),
+    )
+
+
+def _answers(rows: DataFrame) -> DataFrame:
     has_row = F.col(DATE).isNotNull()
     step = F.struct(DATE, "bloom_probability", "bloom_predicted", "ndvi")
-    return rows.groupBy(REQUEST, LOCATION, "latitude", "longitude").agg(
+    return rows.groupBy(*ANSWER_KEY).agg(
         F.sort_array(F.collect_list(F.when(has_row, step))).cast(PREDICTIONS)
         .alias("predictions"),
         score.probable_onset().alias("predicted_onset_date"),
@@ -60,12 +102,12 @@ def score_requests(
     Without a model the rule scores.  A regression model answers with the date whose day
     of the year is nearest to its first prediction and a fixed confidence.
     """
+    if model is None:
+        return _rule_answers(requested_series(requests, series))
     rows = requested_rows(requests, series)
     if SMOOTH_VALUE not in rows.columns:
         rows = rows.withColumn(SMOOTH_VALUE, F.col(RAW_VALUE))
-    if model is None:
-        return _answers(score.rule_scores(rows))
-    keep = [REQUEST, LOCATION, "latitude", "longitude", DATE, SMOOTH_VALUE]
+    keep = [*ANSWER_KEY, DATE, SMOOTH_VALUE]
     scored = predict(model, request_features(rows), keep).withColumnRenamed(
         SMOOTH_VALUE, "ndvi"
     )
@@ -80,8 +122,7 @@ def score_requests(
 def _regression_answers(scored: DataFrame) -> DataFrame:
     has_row = F.col(DATE).isNotNull()
     step = F.struct(DATE, F.col("score").alias("predicted_onset_doy"), "ndvi")
-    key = [REQUEST, LOCATION, "latitude", "longitude"]
-    packed = scored.groupBy(*key).agg(
+    packed = scored.groupBy(*ANSWER_KEY).agg(
         F.sort_array(F.collect_list(F.when(has_row, step))).alias("predictions")
     )
     # a request's rows are bounded by its dates, so the answer comes from the array
