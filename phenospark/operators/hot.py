@@ -15,10 +15,12 @@ PARTS = "hot_parts"
 
 
 def hot_groups(
-    df: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE
+    df: DataFrame, key: Sequence[str], min_rows: int = HOT_ROWS, share: float = HOT_SHARE,
+    ends_of: str | None = None,
 ) -> DataFrame | None:
     """Keys with more than ``min_rows`` rows and ``share`` of the table, and into how many
-    parts to cut each; None when there are none.
+    parts to cut each; None when there are none.  ``ends_of`` adds the lowest and highest
+    value of a column in each as ``hot_low`` and ``hot_high``.
 
     One pass over the key columns, counted map-side.  At most ``1 / share`` keys can
     qualify, which bounds the stored list and makes it safe to broadcast.
@@ -28,5 +30,12 @@ def hot_groups(
     limit = max(min_rows, (total or 0) * share)
     if top is None or top <= limit:
         return None
-    hot = counts.where(F.col("key_rows") > limit)
-    return stored(hot.select(*key, F.ceil(F.col("key_rows") / limit).alias(PARTS)), "hot")
+    parts = F.ceil(F.col("key_rows") / limit).alias(PARTS)
+    hot = counts.where(F.col("key_rows") > limit).select(*key, parts)
+    if ends_of is not None:
+        ends = df.join(F.broadcast(hot), list(key)).groupBy(*key, PARTS).agg(
+            F.min(F.col(ends_of).cast("double")).alias("hot_low"),
+            F.max(F.col(ends_of).cast("double")).alias("hot_high"),
+        )
+        return stored(ends, "hot")
+    return stored(hot, "hot")

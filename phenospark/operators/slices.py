@@ -2,7 +2,8 @@
 
 Raw observations have no bound on rows per location, so a window over one location
 could put any share of the table into one task.  A slice is a (location, month) cell; a
-cell that is itself too full is cut again by day and by a hash of its rows.
+cell that is itself too full is cut again by day and, within a day, into ranges of the
+column that orders its rows.
 """
 
 from __future__ import annotations
@@ -26,28 +27,38 @@ def needs_slices(df: DataFrame, min_rows: int = HOT_ROWS, share: float = HOT_SHA
 
 def with_slices(
     df: DataFrame,
-    spread_by: Sequence[str] | None = None,
+    order_by: str | None = None,
     min_rows: int = HOT_ROWS,
     share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Add the slice columns.  Rows of a full cell are spread by a hash of ``spread_by``
-    (every column when not given), so exact copies part only if a column such as a file
-    row number tells them apart."""
-    spread = list(spread_by or df.columns)
+    """Add the slice columns.
+
+    ``order_by`` is the numeric column that orders rows of one date: a full cell's days
+    are cut into equal ranges of it, so slices follow the order of the rows.  Without it
+    they are cut by a hash of the row.  Neither parts exact copies of a row: read files
+    with a row number, and order by that, where copies may fill a cell.
+    """
     out = df.withColumn("slice_month", F.trunc(DATE, "month"))
-    full = hot_groups(out, [LOCATION, "slice_month"], min_rows, share)
+    full = hot_groups(out, [LOCATION, "slice_month"], min_rows, share, ends_of=order_by)
     if full is None:
         return out.withColumns({
             "slice_day": F.col("slice_month"), "slice_part": F.lit(0).cast("long"),
         })
     out = out.join(F.broadcast(full), [LOCATION, "slice_month"], "left")
-    part = F.pmod(F.xxhash64(*spread), F.col(PARTS))
+    if order_by is None:
+        part = F.pmod(F.xxhash64(*df.columns), F.col(PARTS))
+    else:
+        along = F.try_divide(
+            F.col(order_by).cast("double") - F.col("hot_low"),
+            F.col("hot_high") - F.col("hot_low"),
+        )
+        part = F.floor(along * F.col(PARTS))
     return out.withColumns({
         "slice_day": F.when(F.col(PARTS).isNotNull(), F.col(DATE)).otherwise(
             F.col("slice_month")
         ),
         "slice_part": F.coalesce(part, F.lit(0).cast("long")),
-    }).drop(PARTS)
+    }).select(*df.columns, *SLICE)
 
 
 def slice_stats(sliced: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
