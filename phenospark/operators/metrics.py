@@ -264,12 +264,21 @@ def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 30
     if low is not None and low == high:
         low, high = low - 0.5, high + 0.5
     low, high = F.lit(low).cast("double"), F.lit(high).cast("double")
-    place = F.floor((F.col(residual) - low) / (high - low) * bins)
-    placed = df.where(F.col(residual).isNotNull()).select(
-        F.least(place, F.lit(bins - 1).cast("long")).alias("bin")
+    width = (high - low) / bins
+    value = F.col(residual)
+    guess = F.least(
+        F.floor((value - low) / (high - low) * bins), F.lit(bins - 1).cast("long")
+    )
+    # the printed edges decide, where the division rounds across one
+    placed = df.where(value.isNotNull()).withColumn("bin", guess).select(
+        F.when(value < low + F.col("bin") * width, F.col("bin") - 1)
+        .when(
+            (F.col("bin") < bins - 1) & (value >= low + (F.col("bin") + 1) * width),
+            F.col("bin") + 1,
+        )
+        .otherwise(F.col("bin")).alias("bin")
     )
     counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("rows"))
-    width = (high - low) / bins
     every = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
