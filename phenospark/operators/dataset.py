@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION, RAW_VALUE, SMOOTH_VALUE
@@ -22,9 +22,19 @@ def feature_columns(columns: Sequence[str]) -> list[str]:
 
 
 def best_label(labels: DataFrame) -> DataFrame:
-    """One label per location and year: the best quality, the earliest onset on ties."""
-    w = Window.partitionBy(*KEY).orderBy(F.desc("label_quality_score"), "onset_date")
-    return labels.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """One label per location and year: the best quality, the earliest onset on ties.
+
+    An aggregate, so copies of a label reduce map-side.
+    """
+    quality = F.col("label_quality_score")
+    rest = [c for c in labels.columns if c not in (*KEY, "onset_date")]
+    best = F.min(F.struct(
+        quality.isNull().alias("unrated"), (-quality).alias("rank"), "onset_date", *rest
+    ))
+    picked = labels.groupBy(*KEY).agg(best.alias("best"))
+    return picked.select(*[
+        F.col(c) if c in KEY else F.col(f"best.{c}").alias(c) for c in labels.columns
+    ])
 
 
 def classification_set(

@@ -40,16 +40,30 @@ def requested_rows(requests: DataFrame, series: DataFrame) -> DataFrame:
 def requested_series(requests: DataFrame, series: DataFrame) -> DataFrame:
     """Each valid request with ``steps``, the (date, ndvi) of its range in date order.
 
-    One row per location meets the requests, so no request is ever spread over rows; the
-    calendar bounds the arrays.
+    One row per location meets the requests, holding its steps by year, so no request is
+    ever spread over rows and each looks only at the years it asks for.  The calendar
+    bounds both the years and the steps of a year.
     """
     step = F.struct(DATE, score.greenness(series).alias("ndvi"))
-    packed = series.groupBy(LOCATION).agg(F.sort_array(F.collect_list(step)).alias("steps"))
-    joined = salted_join(_keyed(requests), packed, LOCATION, [REQUEST], how="left")
+    yearly = series.groupBy(LOCATION, F.year(DATE).alias("year")).agg(
+        F.sort_array(F.collect_list(step)).alias("steps")
+    )
+    by_year = yearly.groupBy(LOCATION).agg(
+        F.map_from_entries(F.collect_list(F.struct("year", "steps"))).alias("by_year")
+    )
+    joined = salted_join(_keyed(requests), by_year, LOCATION, [REQUEST], how="left")
+    asked = F.sequence(F.year("start_date"), F.year("end_date"), F.lit(1))
+    found = F.filter(
+        F.transform(asked, lambda y: F.try_element_at("by_year", y)), lambda s: s.isNotNull()
+    )
     within = F.filter(
-        "steps", lambda s: s[DATE].between(F.col("start_date"), F.col("end_date"))
+        F.flatten(found),
+        lambda s: s[DATE].between(F.col("start_date"), F.col("end_date")),
     )
-    return joined.withColumn("steps", F.coalesce(within, F.array()))
+    forward = F.col("start_date") <= F.col("end_date")
+    return joined.withColumn(
+        "steps", F.coalesce(F.when(forward, within), F.array())
+    ).drop("by_year")
 
 
 def request_features(rows: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -39,14 +40,17 @@ def summarise_labels(labels: DataFrame) -> DataFrame:
 
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", by_year: bool = False,
-    mode: str = "overwrite",
+    mode: str = "overwrite", order_by: Sequence[str] = (),
 ) -> None:
-    """Write a stage's table; ``by_year`` lays it out for date-range pruning."""
+    """Write a stage's table; ``by_year`` lays it out for date-range pruning and
+    ``order_by`` sorts the whole of it, which nothing downstream needs."""
     if by_year:
         # rows of one year come together first, or every task would open every year
         if "year" not in df.columns:
             df = df.withColumn("year", F.year(DATE))
         df = df.repartition("year", F.pmod(F.xxhash64(LOCATION), F.lit(64)))
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
@@ -76,7 +80,7 @@ def save_labels(
     """Write labels in order; without any, an empty table with the label columns."""
     if labels is None:
         labels = spark.createDataFrame([], LABELS)
-    write_table(labels.orderBy(LOCATION, "year"), path, fmt)
+    write_table(labels, path, fmt, order_by=(LOCATION, "year"))
 
 
 def save_metrics(one_row: DataFrame, path: str) -> None:

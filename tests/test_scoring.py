@@ -67,6 +67,7 @@ def asked(spark):
         place = 1.0 if i % 3 else float(rng.randrange(2, 9))
         rows.append((i, place, 2.0, start, start + dt.timedelta(120)))
     rows.append((300, 91.0, 2.0, dt.date(2020, 1, 1), dt.date(2021, 1, 1)))
+    rows.append((301, 1.0, 2.0, dt.date(2021, 1, 1), dt.date(2020, 1, 1)))  # backwards
     return spark.createDataFrame(rows, REQUESTS)
 
 
