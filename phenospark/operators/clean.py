@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar, values
@@ -49,20 +51,23 @@ def clip_values(df: DataFrame, value: str = RAW_VALUE) -> DataFrame:
     return df.withColumn(value, values.clip(F.col(value)))
 
 
-def drop_incomplete(
-    df: DataFrame, required: Sequence[str] = RAW_REQUIRED, removed: Observation | None = None
-) -> DataFrame:
-    """Drop rows with a missing required value; ``removed`` counts them in the same pass."""
-    complete = F.lit(True)
-    for name in required:
-        complete = complete & F.col(name).isNotNull()
-    if removed is not None:
-        df = df.observe(
-            removed,
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum((~complete).cast("long")), F.lit(0)).alias("removed"),
-        )
-    return df.where(complete)
+def _complete(required: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in required])
+
+
+def drop_incomplete(df: DataFrame, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
+    """Drop rows with a missing required value."""
+    return df.where(_complete(required))
+
+
+def count_incomplete(df: DataFrame, required: Sequence[str] = RAW_REQUIRED) -> DataFrame:
+    """One row: how many rows there are and how many ``drop_incomplete`` removes.
+
+    A narrow pass of its own: a session that has used an ``Observation`` can no longer
+    ship a fitted forest to its tasks.
+    """
+    removed = F.count_if(~_complete(required))
+    return df.agg(F.count(F.lit(1)).alias("rows"), removed.alias("removed"))
 
 
 def clean(
@@ -70,7 +75,6 @@ def clean(
     scale: str = "auto",
     key_style: str = "canonical",
     date_mode: str = "strict",
-    removed: Observation | None = None,
 ) -> DataFrame:
     """The whole cleaning stage: dates, missing marks, key, scale, clip, drop."""
     require_columns(df, RAW_REQUIRED)
@@ -82,7 +86,7 @@ def clean(
     out = with_location_key(out, key_style)
     out = scale_values(out, scale)
     out = clip_values(out)
-    return drop_incomplete(out, removed=removed)
+    return drop_incomplete(out)
 
 
 def mask_clouds(

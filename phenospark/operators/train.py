@@ -148,6 +148,8 @@ def train_model(
         cv_score = pick(found.avgMetrics)
         best = fitted.stages[-1]
         best_params = {name: best.getOrDefault(name) for name in grid}
+    # a copy leaves the training summary behind, which would tie the model to the session
+    fitted = fitted.copy()
     out = BloomModel(fitted, features, task, model_type, best_params=best_params)
     out.metrics = in_sample_metrics(out, table)
     if cv_score is not None:

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from phenospark.functions import values
@@ -70,13 +69,13 @@ def test_dates(spark):
         clean.parse_dates(df).collect()
 
 
-def test_incomplete_rows_are_counted_in_the_same_pass(spark):
+def test_incomplete_rows_are_counted_and_dropped(spark):
     rows = [(1.0, 2.0, "2020-01-01", 0.5), (None, 2.0, "2020-01-01", 0.5),
             (1.0, 2.0, "2020-01-01", float("nan"))]
-    seen = Observation()
-    out = clean.clean(spark.createDataFrame(rows, RAW), removed=seen)
-    assert out.count() == 1
-    assert seen.get == {"rows": 3, "removed": 2}
+    df = spark.createDataFrame(rows, RAW)
+    assert clean.clean(df).count() == 1
+    marked = df.withColumn("ndvi_raw", values.null_if_nan(F.col("ndvi_raw")))
+    assert clean.count_incomplete(marked).first().asDict() == {"rows": 3, "removed": 2}
 
 
 def test_cloud_mask_and_flag(spark):
