@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder under the shared folder the session names.
+def shared_base(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only where none is named, as in tests, is a local one made up.
+    Raises where only a driver-local warehouse is left and executors run on other machines.
     """
     base = spark.conf.get(SETTING, None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="phenospark-")
-    return f"{base.rstrip('/')}/phenospark/{purpose}-{uuid.uuid4().hex}"
+    if base:
+        return base.rstrip("/")
+    base = spark.conf.get(WAREHOUSE)
+    master = spark.conf.get("spark.master", "local")
+    if urlsplit(base).scheme in ("", "file") and not master.split("[")[0] == "local":
+        raise ValueError(f"set {SETTING} to a folder that driver and executors share")
+    return base.rstrip("/")
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder under the shared folder of the session."""
+    return f"{shared_base(spark)}/phenospark/{purpose}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

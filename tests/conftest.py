@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -17,6 +17,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
