@@ -199,7 +199,10 @@ def write_files(encoded: DataFrame, table: Table, folder: str) -> DataFrame:
                 for doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids")), strict=True):
                     writer.add(doc_id, ids)
             n = writer.close()
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "file": [address], "n_ids": [n]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([shard], pa.int32()), pa.array([address]), pa.array([n], pa.int64())],
+            names=["shard", "file", "n_ids"],
+        )
 
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order)

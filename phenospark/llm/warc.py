@@ -26,7 +26,7 @@ from .store import Ranges, new_file
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BLOCK_LINES = 1000
-TAIL = struct.Struct("<8sQQ")  # magic, directory offset, directory length
+TAIL = "<8sQQ"  # magic, directory offset, directory length
 MAGIC = b"CAPTIDX1"
 MEMBERS = "shard int, url string, page_id long, file string, offset long, length long"
 RECORD = (
@@ -210,7 +210,7 @@ def build_index(members: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
                 flush()
                 total += len(held)
             data = zlib.compress(json.dumps(directory).encode())
-            out.write(data + TAIL.pack(MAGIC, at, len(data)))
+            out.write(data + struct.pack(TAIL, MAGIC, at, len(data)))
         yield pa.RecordBatch.from_arrays(
             [pa.array([v], t) for v, t in zip(
                 (shard, address, *directory[0][:2], total),
@@ -235,7 +235,7 @@ class Index:
 
     def _directory(self, address: str) -> list:
         if address not in self.directories:
-            magic, start, size = TAIL.unpack(self.files.tail(address, TAIL.size))
+            magic, start, size = struct.unpack(TAIL, self.files.tail(address, struct.calcsize(TAIL)))
             if magic != MAGIC:
                 raise ValueError(f"{address}: not a capture index")
             rows = json.loads(zlib.decompress(self.files.read(address, start, size)))
