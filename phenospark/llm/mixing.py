@@ -17,7 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, texts
-from .textmodel import FEATURE, FEATURES, SAMPLE_ROWS, classifier, labelled_sample, telling_words, vectorised, word_features
+from .textmodel import (
+    FEATURE,
+    FEATURES,
+    SAMPLE_ROWS,
+    classifier,
+    few_parts,
+    labelled_sample,
+    telling_words,
+    vectorised,
+    word_features,
+)
 
 TOLERANCE = 1e-6
 STEPS = 60
@@ -51,7 +61,8 @@ def posteriors(
         return words.withColumn("p", F.array(*flat)).drop("words", "text")
     chosen = telling_words(sample, [F.col("domain") == n for n in seen], features)
     number = F.array_position(F.array(*[F.lit(n) for n in seen]), F.col("domain")) - 1
-    data = stored(vectorised(sample.withColumn("number", number.cast("double")), chosen).drop("words"), "training")
+    data = vectorised(sample.withColumn("number", number.cast("double")), chosen).drop("words")
+    data = stored(few_parts(data), "training")
     model = classifier(FEATURE, "number", "posterior").fit(data)
     scored = model.transform(vectorised(words, chosen))
     given = vector_to_array("posterior")

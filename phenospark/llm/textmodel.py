@@ -46,6 +46,11 @@ def labelled_sample(
     )
 
 
+def few_parts(df: DataFrame, parts: int = 2) -> DataFrame:
+    """The bounded sample in few partitions: a fit makes many passes over little data."""
+    return df.coalesce(parts)
+
+
 def telling_words(sample: DataFrame, targets: Sequence[Column], features: int = FEATURES) -> list[str]:
     """Up to ``features`` words per target (a 0/1 column), by the chi-square of word and target."""
     flags = [t.cast("double").alias(f"t{k}") for k, t in enumerate(targets)]
@@ -75,9 +80,9 @@ def vectorised(df: DataFrame, words: list[str]) -> DataFrame:
     return model.setBinary(True).setMinTF(1.0).transform(df)
 
 
-def classifier(features: str, label: str, name: str, steps: int = 60) -> LogisticRegression:
+def classifier(features: str, label: str, name: str, steps: int = 30) -> LogisticRegression:
     """Logistic regression, its penalty mostly on the number of words it uses."""
     return LogisticRegression(
         featuresCol=features, labelCol=label, probabilityCol=name, rawPredictionCol=f"{name}_raw",
-        predictionCol=f"{name}_class", maxIter=steps, regParam=0.002, elasticNetParam=0.5,
+        predictionCol=f"{name}_class", maxIter=steps, tol=1e-5, regParam=0.002, elasticNetParam=0.5,
     )

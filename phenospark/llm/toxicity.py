@@ -10,14 +10,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, texts
-from .textmodel import FEATURE, FEATURES, SAMPLE_ROWS, classifier, labelled_sample, telling_words, vectorised, word_features
+from .textmodel import (
+    FEATURE,
+    FEATURES,
+    SAMPLE_ROWS,
+    classifier,
+    few_parts,
+    labelled_sample,
+    telling_words,
+    vectorised,
+    word_features,
+)
 
 CATEGORIES = ("low_quality", "toxic")
 FOLDS = 3
@@ -85,21 +98,21 @@ def fit_chain(
     categories = tuple(categories)
     sample = stored(labelled_sample(docs, labels, categories, rows), "labelled")
     words = telling_words(sample, [F.col(c) for c in categories], features)
-    data = stored(vectorised(sample, words).withColumn("fold", F.col("fold") % folds).drop("words"), "training")
+    data = vectorised(sample, words).withColumn("fold", F.col("fold") % folds).drop("words")
+    data = stored(few_parts(data), "training")
     chain = Chain(categories, words, [], [], [])
     for k, name in enumerate(categories):
         earlier = categories[:k]
-        parts = []
-        for fold in range(folds):
-            model, rate = _fit(data.where(F.col("fold") != fold), name, earlier)
-            parts.append(_predict(data.where(F.col("fold") == fold), model, rate, name, earlier))
-        unseen = parts[0]
-        for part in parts[1:]:
-            unseen = unseen.unionByName(part)
-        final, rate = _fit(data, name, earlier)
+        rest = [data.where(F.col("fold") != fold) for fold in range(folds)]
+        with ThreadPool(folds + 1) as pool:  # small fits, side by side
+            fit = inheritable_thread_target(lambda rows, n=name, e=earlier: _fit(rows, n, e))
+            *fitted, (final, rate) = pool.map(fit, [*rest, data])
+        unseen = reduce(DataFrame.unionByName, [
+            _predict(data.where(F.col("fold") == fold), *one, name, earlier) for fold, one in enumerate(fitted)
+        ])
         chain.models.append(final)
         chain.rates.append(rate)
-        data = stored(unseen, "out-of-fold")
+        data = stored(few_parts(unseen), "out-of-fold")
         chain.thresholds.append(best_threshold(data, name))
     return chain
 
