@@ -3,10 +3,9 @@
 Each set is hashed once; its values fall into bins, the least value of a bin counts, and an
 empty bin takes the value of a bin that a fixed random sequence of its own names.  Bands of
 bins give bucket keys.  A bucket proposes star-shaped pairs, every member with one centre,
-and full sets confirm them.  Where a bucket still spans several components, members that
-are in none of the larger ones become centres in their turn, until each bucket lies in one
-component or all its pairs were compared; so the number of pairs stays near that of the
-members and no link of a bucket is lost.
+and full sets confirm them.  Where a bucket still spans several components, the members of
+different ones are compared inside tasks, which give a spanning forest; so the number of
+pairs stays near that of the members and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +25,9 @@ WORDS = 5
 PERCENT = 80
 BANDS = 32
 ROWS = 5
-CENTRES = 8
+CHUNK = 1024  # members, and shingles, of a bucket that one side of a unit may hold
+CHUNK_SHINGLES = 2_000_000
+LEAST_COMMON = 2  # bands; pairs at the threshold that share fewer are as rare as ones that share none
 KNOWN_WORDS = 1_000_000
 DRAWS = 256
 
@@ -196,7 +197,7 @@ def _alike(percent: int):
 
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, centres: int = CENTRES,
+    percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id, kept.
 
@@ -224,64 +225,183 @@ def near_duplicates(
         .select("node", "centre").distinct(), "pairs",
     )
     edges = stored(confirm(docs, pairs, words, percent), "confirmed")
-    labels = components(edges)
-    served = buckets.select("key", F.col("centre").alias("node"))
-    tested = pairs
-    while True:
-        members = stored(members.join(served, ["key", "node"], "left_anti"), "members")
-        pairs, served = _more_pairs(members, labels, tested, percent, centres)
-        if served.isEmpty():
-            break
-        if not pairs.isEmpty():
-            found = stored(confirm(docs, pairs, words, percent), "confirmed")
-            tested = tested.unionByName(pairs)
-            if not found.isEmpty():
-                edges = edges.unionByName(found)
-                labels = components(edges)
-        centres *= 4
+    rest = stored(
+        compare_rest(docs, classes, members, components(edges), words, percent), "confirmed"
+    )
+    labels = components(edges.unionByName(rest))
     by_set = classes.select("high", "low", "node").join(labels, "node", "left").select(
         "high", "low", F.coalesce("component", "node").alias("component_id")
     )
     return _with_components(sketch, stored(by_set, "set-components"))
 
 
-def _more_pairs(
-    members: DataFrame, labels: DataFrame, tested: DataFrame, percent: int, centres: int,
-) -> tuple[DataFrame, DataFrame]:
-    """Further pairs of buckets that span several components, and the (key, node) that they
-    compare with the whole bucket; the largest component of a bucket gives no centre."""
+def compare_rest(
+    docs: DataFrame, classes: DataFrame, members: DataFrame, labels: DataFrame, words: int, percent: int,
+) -> DataFrame:
+    """Edges that the stars missed: in buckets that still span several components, all pairs of
+    different components, each in one of the buckets that its members share.
+
+    The largest component of a bucket is not compared with itself.  The others are cut
+    into chunks, and so is the largest; each pair of chunks with one of the others in it is
+    a task's unit.  Units give a spanning forest of the links found, not pairs.  Buckets with
+    the same members count once.
+    """
     known = stored(
         members.join(labels, "node", "left").select(
             "key", "node", "n", F.coalesce("component", "node").alias("component")
         ), "bucket-components",
     )
     groups = known.groupBy("key", "component").agg(
-        F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n")).alias("first")
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("n"),
+        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"),
     )
-    groups = stored(groups, "bucket-groups")
-    mixed = stored(
-        groups.groupBy("key").agg(
-            F.count(F.lit(1)).alias("groups"), F.max(F.struct("size", "component")).alias("most"),
-            F.min("first.node").alias("least"),
-        ).where("groups > 1"), "mixed-buckets",
+    mixed = groups.groupBy("key").agg(
+        F.count(F.lit(1)).alias("groups"), F.max(F.struct("size", "n", "component")).alias("most"),
+        F.sum("size").alias("size"), F.sum("n").alias("n"), F.sum("who").alias("who"),
+    ).where("groups > 1")
+
+    def chunks(size, n):
+        return F.greatest(F.lit(1), F.ceil(size / CHUNK), F.ceil(n / CHUNK_SHINGLES)).cast("int")
+
+    one_each = stored(
+        mixed.groupBy("size", "n", "who").agg(F.min(F.struct("key", "most")).alias("b")).select(
+            "b.key", F.col("b.most.component").alias("largest"),
+            chunks(F.col("size") - F.col("b.most.size"), F.col("n") - F.col("b.most.n")).alias("others"),
+            chunks(F.col("b.most.size"), F.col("b.most.n")).alias("mains"),
+        ), "mixed-buckets",
     )
-    step = F.ceil(F.col("groups") / centres)
-    chosen = stored(
-        groups.join(mixed, "key").where(F.col("component") != F.col("most.component")).where(
-            F.pmod(F.xxhash64("component", F.lit(centres)), step) == 0
-        ).select(
-            "key", F.col("first.node").alias("centre"), F.col("first.n").alias("centre_n"),
-            F.col("component").alias("centre_component"),
-        ), "centres",
+    placed = known.join(one_each, "key").select(
+        "node", F.struct(
+            "key", "component", "others", "mains", (F.col("component") == F.col("largest")).alias("main")
+        ).alias("place"),
     )
-    if chosen.isEmpty() and not mixed.isEmpty():
-        return _more_pairs(members, labels, tested, percent, centres * 4)
-    a, b = F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    proposed = known.join(chosen, "key").where(F.col("component") != F.col("centre_component")).where(
-        _alike(percent)
-    ).select("node", "centre", a, b).dropDuplicates(["a", "b"])
-    fresh = proposed.join(tested.select(a, b).distinct(), ["a", "b"], "left_anti").select("node", "centre")
-    return stored(fresh, "pairs"), chosen.select("key", F.col("centre").alias("node"))
+    wanted = stored(placed.groupBy("node").agg(F.collect_list("place").alias("places")), "wanted")
+    with_bands = wanted.join(classes.select("node", "bands"), "node")
+    schema = (
+        "key long, low int, high int, first boolean, node long, component long, bands binary, members binary"
+    )
+
+    def spread(batches):
+        shingles = Shingles(words)
+        for batch in batches:
+            held, size = [], 0
+            for text, node, bands, places in zip(
+                *(batch.column(c).to_pylist() for c in ("text", "node", "bands", "places")), strict=True
+            ):
+                data, keys = shingles(text).tobytes(), np.array(bands, "i8").tobytes()
+                for place in places:
+                    for low, high, first in units_of(node, place):
+                        held.append((place["key"], low, high, first, node, place["component"], keys, data))
+                        size += len(data) + len(keys)
+                        if size > 16_000_000:
+                            yield _unit_rows(held)
+                            held, size = [], 0
+            if held:
+                yield _unit_rows(held)
+
+    rows = docs.join(with_bands.withColumnRenamed("node", "doc_id"), "doc_id").select(
+        F.col("doc_id").alias("node"), "text", "bands", "places"
+    ).mapInArrow(spread, schema)
+    unit = ["key", "low", "high"]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["first", "node", "component", "bands", "members"]
+
+    def compare(batches):
+        key, held, found = None, [], []
+        for batch in batches:
+            lists = [batch.column(c).to_pylist() for c in (*unit, *columns)]
+            for a, b, c, *row in zip(*lists, strict=True):
+                if (a, b, c) != key:
+                    found += compare_unit(held, percent, key)
+                    key, held = (a, b, c), []
+                held.append(row)
+            if found:
+                yield _edges(found)
+                found = []
+        found = compare_unit(held, percent, key)
+        if found:
+            yield _edges(found)
+
+    return rows.repartition(parts, *unit).sortWithinPartitions(*unit).mapInArrow(
+        compare, "a long, b long"
+    ).distinct()
+
+
+def units_of(node: int, place: dict):
+    """(low, high, first) of the units a bucket's member takes part in.
+
+    Chunks of the other components are numbered from 0 and meet each other once; those of
+    the largest follow them and meet only the others.
+    """
+    others, mains = place["others"], place["mains"]
+    own = int(mix(np.array([node], "i8").view("u8"))[0] % np.uint64(mains if place["main"] else others))
+    if place["main"]:
+        return [(k, others + own, False) for k in range(others)]
+    return [(min(own, k), max(own, k), own <= k) for k in range(others)] + [
+        (own, others + k, True) for k in range(mains)
+    ]
+
+
+def compare_unit(rows: list, percent: int, key: tuple | None) -> list[tuple[int, int]]:
+    """A spanning forest of the links between members of different components in one unit.
+
+    ``rows``: [first side, node, component, bands, set].  A pair is compared in the bucket of
+    its least common key only; of buckets with the same members the least key was kept.
+    """
+    if len(rows) < 2:
+        return []
+    bands = np.stack([np.frombuffer(r[3], "i8") for r in rows])
+    sets = [np.frombuffer(r[4], "u8") for r in rows]
+    sizes = np.array([len(s) for s in sets], "i8")
+    component = np.array([r[2] for r in rows], "i8")
+    node = np.array([r[1] for r in rows], "i8")
+    left = np.flatnonzero([r[0] for r in rows])
+    right = left if key[1] == key[2] else np.flatnonzero([not r[0] for r in rows])
+    if not len(left) or not len(right):
+        return []
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    marks = np.zeros(int(codes.max(initial=0)) + 1, bool)
+    found = []
+    for i in left:
+        others = right[(component[right] != component[i]) & (right != i)]
+        others = others[
+            100 * np.minimum(sizes[others], sizes[i]) >= percent * np.maximum(sizes[others], sizes[i])
+        ]
+        if key[1] == key[2]:
+            others = others[others > i]
+        if len(others):
+            common = bands[others] == bands[i]
+            own = np.where(common, bands[i], np.iinfo("i8").max).min(axis=1) == key[0]
+            others = others[own & (common.sum(axis=1) >= LEAST_COMMON)]
+        if not len(others):
+            continue
+        marks[codes[starts[i]:ends[i]]] = True
+        at = np.concatenate([np.arange(starts[j], ends[j]) for j in others])
+        cuts = np.cumsum(sizes[others]) - sizes[others]
+        both = np.add.reduceat(marks[codes[at]].astype("i8"), cuts)
+        marks[codes[starts[i]:ends[i]]] = False
+        good = others[100 * both >= percent * (sizes[others] + sizes[i] - both)]
+        if len(good):  # a link to each component is enough
+            _, one = np.unique(component[good], return_index=True)
+            found += [(int(node[i]), int(node[j])) for j in good[one]]
+    return found
+
+
+def _unit_rows(held: list) -> pa.RecordBatch:
+    types = [
+        pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary(),
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)],
+        names=["key", "low", "high", "first", "node", "component", "bands", "members"],
+    )
+
+
+def _edges(found: list) -> pa.RecordBatch:
+    a, b = zip(*found, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def _with_components(sketch: DataFrame, by_set: DataFrame) -> DataFrame:
