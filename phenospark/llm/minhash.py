@@ -71,6 +71,12 @@ class Shingles:
         return np.unique(out)
 
 
+@lru_cache(maxsize=4)
+def shingler(words: int) -> Shingles:
+    """One per Python worker, so that tasks share the words it knows."""
+    return Shingles(words)
+
+
 @lru_cache(maxsize=4)
 def donors(bins: int) -> np.ndarray:
     """For each bin the bins to ask when it is empty: random draws, then all in random order."""
@@ -106,7 +112,7 @@ def sketches(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
     """Per document: doc_id, n_shingles, fingerprint of the set (two halves), band keys."""
 
     def run(batches):
-        shingles = Shingles(words)
+        shingles = shingler(words)
         for batch in batches:
             sizes, high, low, keys = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -137,7 +143,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
     centres = stored(pairs.select("centre").distinct(), "centres")
 
     def member_sets(batches):
-        shingles = Shingles(words)
+        shingles = shingler(words)
         for batch in batches:
             texts_, nodes, lists = (batch.column(c).to_pylist() for c in ("text", "node", "centres"))
             held, size = [], 0
@@ -160,7 +166,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
         )
 
     def centre_sets(batches):
-        shingles = Shingles(words)
+        shingles = shingler(words)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
                 batch.column("centre"),
@@ -282,7 +288,7 @@ def compare_rest(
     )
 
     def spread(batches):
-        shingles = Shingles(words)
+        shingles = shingler(words)
         for batch in batches:
             held, size = [], 0
             for text, node, bands, places in zip(
