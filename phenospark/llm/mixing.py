@@ -12,21 +12,22 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import numpy as np
-from pyspark.ml.functions import vector_to_array
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .common import stored, texts
 from .textmodel import (
-    FEATURE,
     FEATURES,
     SAMPLE_ROWS,
-    classifier,
-    few_parts,
+    Features,
+    Rows,
+    fit_softmax,
     labelled_sample,
+    on_sample,
+    softmax,
     telling_words,
-    vectorised,
-    word_features,
 )
 
 TOLERANCE = 1e-6
@@ -51,25 +52,34 @@ def posteriors(
     """
     wanted = domains.where(F.col("domain").isin(names))
     sample = stored(labelled_sample(docs.select("doc_id", "text"), wanted, ["domain"], rows), "labelled")
-    seen = [r["domain"] for r in sample.select("domain").distinct().orderBy("domain").collect()]
-    words = docs.withColumns({
-        "words": word_features(F.col("text")),
-        "tokens": F.size(F.array_remove(F.split("text", r"\s+"), "")).cast("long"),
-    })
-    if len(seen) < 2:
-        flat = [F.lit(float(n in seen) if seen else 1 / len(names)) for n in names]
-        return words.withColumn("p", F.array(*flat)).drop("words", "text")
-    chosen = telling_words(sample, [F.col("domain") == n for n in seen], features)
-    number = F.array_position(F.array(*[F.lit(n) for n in seen]), F.col("domain")) - 1
-    data = vectorised(sample.withColumn("number", number.cast("double")), chosen).drop("words")
-    data = stored(few_parts(data), "training")
-    model = classifier(FEATURE, "number", "posterior").fit(data)
-    scored = model.transform(vectorised(words, chosen))
-    given = vector_to_array("posterior")
-    parts = [given[seen.index(n)] if n in seen else F.lit(0.0) for n in names]
-    return scored.withColumn("p", F.array(*parts)).drop(
-        "words", "text", FEATURE, "posterior", "posterior_raw", "posterior_class"
-    )
+    words = telling_words(sample, "domain", names, features)
+
+    def fit(columns):
+        look = Features(words)
+        target = np.array([[d == n for n in names] for d in columns["domain"]], float)
+        rows_ = [look(t) for t in columns["text"]]
+        return fit_softmax(Rows(rows_, len(words) + 1, np.zeros((len(rows_), 0))), target)
+
+    flat = on_sample(sample, fit)
+    weights = flat.reshape(-1, len(names)) if len(flat) else np.zeros((len(words) + 1, len(names)))
+    model = docs.sparkSession.sparkContext.broadcast((words, weights))  # bounded by the features
+    others = [c for c in docs.columns if c != "text"]
+
+    def score(batches):
+        known, w = model.value
+        look = Features(known)
+        for batch in batches:
+            found, sizes = [], []
+            for text in batch.column("text").to_pylist():
+                found.append(softmax(w[look(text)].sum(axis=0)[None])[0])
+                sizes.append(len(text.split()))
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(c) for c in others], pa.array(sizes, pa.int64()),
+                pa.array(found, pa.list_(pa.float64())),
+            ], names=[*others, "tokens", "p"])
+
+    schema = docs.select(*others).schema.add("tokens", "long").add("p", ArrayType(DoubleType()))
+    return docs.mapInArrow(score, schema)
 
 
 def rate_after(steps: list[np.ndarray], lowest: float) -> Column:

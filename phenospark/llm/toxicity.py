@@ -1,119 +1,113 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted in order.  Each model sees the words of a text and the probabilities of the
-categories before it; it is trained with out-of-fold probabilities of those, so it
-learns from what it will get.  The threshold of each category comes from the same
-out-of-fold predictions.
+Categories are predicted in order.  Each linear model sees the words of a text and the
+probabilities of the categories before it; it is trained with out-of-fold probabilities of
+those, so it learns from what it will get.  The threshold of each category comes from the
+same out-of-fold predictions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, texts
 from .textmodel import (
-    FEATURE,
     FEATURES,
+    FOLDS,
     SAMPLE_ROWS,
-    classifier,
-    few_parts,
+    Features,
+    Rows,
+    fit_softmax,
     labelled_sample,
+    on_sample,
+    softmax,
     telling_words,
-    vectorised,
-    word_features,
 )
 
 CATEGORIES = ("low_quality", "toxic")
-FOLDS = 3
 
 
 @dataclass
 class Chain:
     categories: tuple[str, ...]
     words: list[str]
-    models: list  # None where the sample has one class only; then the rate holds
-    rates: list[float]
+    weights: list[np.ndarray]  # per category: constant and words, then earlier probabilities
     thresholds: list[float]
 
-    def score(self, df: DataFrame) -> DataFrame:
-        """Add p_<category> to rows that have the word features."""
-        for k, name in enumerate(self.categories):
-            df = _predict(df, self.models[k], self.rates[k], name, self.categories[:k])
-        return df
-
-
-def _inputs(earlier: Sequence[str], name: str) -> VectorAssembler:
-    return VectorAssembler(inputCols=[FEATURE, *[f"p_{c}" for c in earlier]], outputCol=f"in_{name}")
-
-
-def _predict(df: DataFrame, model, rate: float, name: str, earlier: Sequence[str]) -> DataFrame:
-    if model is None:
-        return df.withColumn(f"p_{name}", F.lit(rate))
-    scored = model.transform(_inputs(earlier, name).transform(df))
-    return scored.withColumn(f"p_{name}", vector_to_array(f"v_{name}")[1]).drop(
-        f"in_{name}", f"v_{name}", f"v_{name}_raw", f"v_{name}_class"
-    )
-
-
-def _fit(rows: DataFrame, name: str, earlier: Sequence[str]):
-    """(model or None, rate of the category)."""
-    n, rate = rows.agg(F.count(F.lit(1)), F.avg(name)).first()
-    if not n or rate in (0.0, 1.0):
-        return None, float(rate or 0.0)
-    inputs = _inputs(earlier, name).transform(rows)
-    return classifier(f"in_{name}", name, f"v_{name}").fit(inputs), float(rate)
-
-
-def best_threshold(rows: DataFrame, name: str) -> float:
-    """The probability, in hundredths, from which on F1 of the category is best; more than 1 without
-    any positive row."""
-    counts = rows.groupBy(F.floor(F.col(f"p_{name}") * 100).alias("step")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(name).alias("hits")
-    ).orderBy(F.desc("step")).collect()  # 101 rows at most
-    positives = sum(r["hits"] for r in counts)
-    best, at, taken, hits = 0.0, 1.01, 0, 0
-    for row in counts:
-        taken, hits = taken + row["n"], hits + row["hits"]
-        f1 = 2 * hits / (taken + positives)
-        if f1 > best:
-            best, at = f1, row["step"] / 100
-    return at
+    def probabilities(self, numbers: list[int]) -> list[float]:
+        found: list[float] = []
+        for w in self.weights:
+            z = w[numbers].sum(axis=0) + np.array(found) @ w[len(self.words) + 1:]
+            found.append(1 / (1 + float(np.exp(np.clip(z[0] - z[1], -500, 500)))))
+        return found
+
+
+def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
+    """The probability from which on F1 is best; above 1 without a positive row."""
+    if not y.any():
+        return 1.01
+    order = np.argsort(-p, kind="stable")
+    hits, taken = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    last = np.append(p[order][1:] != p[order][:-1], True)  # equal probabilities go together
+    f1 = np.where(last, 2 * hits / (taken + y.sum()), 0)
+    k = int(f1.argmax())
+    below = p[order][k + 1] if k + 1 < len(p) else 0.0
+    return float((p[order][k] + below) / 2)
+
+
+def fit_columns(columns: dict, words: Sequence[str], categories: Sequence[str], folds: int = FOLDS) -> np.ndarray:
+    """Weights and threshold of each category, flattened, from the columns of the sample."""
+    look = Features(words)
+    numbers = [look(t) for t in columns["text"]]
+    fold = np.array(columns["fold"]) % folds
+    width, out = len(words) + 1, []
+    earlier = np.zeros((len(numbers), 0))
+    for name in categories:
+        y = np.array(columns[name], float)
+        target = np.stack([1 - y, y], axis=1)
+
+        def part(mask, earlier=earlier):
+            return Rows([numbers[i] for i in np.flatnonzero(mask)], width, earlier[mask])
+
+        unseen = np.full(len(y), y.mean())
+        for f in range(folds):
+            held = fold == f
+            if held.any() and not held.all():
+                w = fit_softmax(part(~held), target[~held])
+                unseen[held] = softmax(part(held).times(w))[:, 1]
+        final = fit_softmax(part(np.ones(len(y), bool)), target)
+        out += [final.ravel(), [best_threshold(unseen, y)]]
+        earlier = np.hstack([earlier, unseen[:, None]])
+    return np.concatenate(out)
 
 
 def fit_chain(
     docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGORIES,
-    rows: int = SAMPLE_ROWS, features: int = FEATURES, folds: int = FOLDS,
+    rows: int = SAMPLE_ROWS, features: int = FEATURES,
 ) -> Chain:
-    """Fit on at most ``rows`` labelled documents.  ``labels`` has doc_id and a 0/1 column
-    per category.  Without labelled rows every probability is 0 and nothing is rejected."""
+    """Fit on at most ``rows`` labelled documents, in one task.  ``labels`` has doc_id and a
+    0/1 column per category.  Without labelled rows all probabilities are one half and nothing is
+    rejected."""
     categories = tuple(categories)
     sample = stored(labelled_sample(docs, labels, categories, rows), "labelled")
-    words = telling_words(sample, [F.col(c) for c in categories], features)
-    data = vectorised(sample, words).withColumn("fold", F.col("fold") % folds).drop("words")
-    data = stored(few_parts(data), "training")
-    chain = Chain(categories, words, [], [], [])
-    for k, name in enumerate(categories):
-        earlier = categories[:k]
-        rest = [data.where(F.col("fold") != fold) for fold in range(folds)]
-        with ThreadPool(folds + 1) as pool:  # small fits, side by side
-            fit = inheritable_thread_target(lambda rows, n=name, e=earlier: _fit(rows, n, e))
-            *fitted, (final, rate) = pool.map(fit, [*rest, data])
-        unseen = reduce(DataFrame.unionByName, [
-            _predict(data.where(F.col("fold") == fold), *one, name, earlier) for fold, one in enumerate(fitted)
-        ])
-        chain.models.append(final)
-        chain.rates.append(rate)
-        data = stored(few_parts(unseen), "out-of-fold")
-        chain.thresholds.append(best_threshold(data, name))
+    words = sorted({w for c in categories for w in telling_words(sample, c, (0, 1), features)})
+    flat = on_sample(sample, lambda columns: fit_columns(columns, words, categories))
+    chain = Chain(categories, words, [], [])
+    for k in range(len(categories)):
+        size = 2 * (len(words) + 1 + k)
+        if len(flat):
+            chain.weights.append(flat[:size].reshape(-1, 2))
+            chain.thresholds.append(float(flat[size]))
+            flat = flat[size + 1:]
+        else:
+            chain.weights.append(np.zeros((size // 2, 2)))
+            chain.thresholds.append(1.01)
     return chain
 
 
@@ -122,6 +116,28 @@ def quality_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
+def _scored(df: DataFrame, chain: Chain, text: str) -> DataFrame:
+    """Other columns of ``df`` and p_<category> instead of ``text``."""
+    names = [f"p_{c}" for c in chain.categories]
+    model = df.sparkSession.sparkContext.broadcast(chain)  # bounded by the features
+    others = [c for c in df.columns if c != text]
+
+    def run(batches):
+        known = model.value
+        look = Features(known.words)
+        for batch in batches:
+            found = [known.probabilities(look(t)) for t in batch.column(text).to_pylist()]
+            values = [pa.array(c, pa.float64()) for c in zip(*found, strict=True)] or [
+                pa.array([], pa.float64()) for _ in names
+            ]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *values], names=[*others, *names])
+
+    schema = df.select(*[F.col(f"`{c}`") for c in others]).schema
+    for n in names:
+        schema = schema.add(n, "double")
+    return df.mapInArrow(run, schema)
+
+
 def score_documents(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     categories: Sequence[str] = CATEGORIES, rejects: str = "toxic", **options,
@@ -129,27 +145,26 @@ def score_documents(
     """One row per row of ``df``: doc_id, p_<category> for each, and ``toxic``, whether the
     category ``rejects`` reaches its threshold.
 
-    Whole texts are scored; a null or empty text has no words and gets the models' base rate.  Null and
-    repeated ids stay as they are.
+    Whole texts are scored; a null or empty text has no words and gets the models' constant.
+    Null and repeated ids stay as they are.
     """
     docs = texts(df, id_col, text_col)
     chain = fit_chain(docs, labels, categories, **options)
-    words = docs.select("doc_id", word_features(F.col("text")).alias("words"))
-    scored = chain.score(vectorised(words, chain.words))
     limit = chain.thresholds[chain.categories.index(rejects)]
-    return scored.select(
-        "doc_id", *[f"p_{c}" for c in chain.categories], (F.col(f"p_{rejects}") >= limit).alias("toxic")
-    )
+    return _scored(docs, chain, "text").withColumn("toxic", F.col(f"p_{rejects}") >= limit)
 
 
-def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def drop_toxic(
+    df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    categories: Sequence[str] = CATEGORIES, rejects: str = "toxic", **options,
+) -> DataFrame:
     """The rows of ``df``, with their columns as they are, that are not rejected."""
-    docs = texts(df, id_col, text_col)
-    chain = fit_chain(docs, labels, **options)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    words = df.select(row, word_features(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("words"))
-    scored = chain.score(vectorised(words, chain.words))
-    limit = chain.thresholds[-1]
-    return scored.where(F.col(f"p_{chain.categories[-1]}") < limit).select(
+    chain = fit_chain(texts(df, id_col, text_col), labels, categories, **options)
+    limit = chain.thresholds[chain.categories.index(rejects)]
+    whole = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("whole"),
+    )
+    return _scored(whole, chain, "whole").where(F.col(f"p_{rejects}") < limit).select(
         *[F.col(f"row.`{c}`").alias(c) for c in df.columns]
     )
