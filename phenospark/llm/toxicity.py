@@ -108,6 +108,9 @@ def fit_chain(
         else:
             chain.weights.append(np.zeros((size // 2, 2)))
             chain.thresholds.append(1.01)
+    # words have to speak for a category: a text without any is never in one
+    silent = chain.probabilities([0])
+    chain.thresholds = [max(t, float(np.nextafter(p, 2))) for t, p in zip(chain.thresholds, silent, strict=True)]
     return chain
 
 
@@ -145,8 +148,8 @@ def score_documents(
     """One row per row of ``df``: doc_id, p_<category> for each, and ``toxic``, whether the
     category ``rejects`` reaches its threshold.
 
-    Whole texts are scored; a null or empty text has no words and gets the models' constant.
-    Null and repeated ids stay as they are.
+    Whole texts are scored; a null or empty text has no words, gets the models' constant and
+    is not rejected.  Null and repeated ids stay as they are.
     """
     docs = texts(df, id_col, text_col)
     chain = fit_chain(docs, labels, categories, **options)
