@@ -248,11 +248,11 @@ def labels(spark, rows):
 @pytest.fixture(scope="module")
 def judged():
     found, marks = [], []
-    for i in range(240):
+    for i in range(480):
         toxic, poor = i % 4 == 0, i % 3 == 0
         text = prose(30) + (" vileness" if toxic else "") + (" junky" if poor else "")
         found.append((i, text))
-        if i < 160:
+        if i < 400:
             marks.append((i, int(not poor), int(toxic)))
     return found + [(500, None), (501, "")], marks + [(None, 1, 0), (3, None, 1), (0, 0, 1), (999, 1, 1)]
 
@@ -261,10 +261,10 @@ def test_toxicity_on_documents_without_labels(spark, judged):
     rows, marks = judged
     df = documents(spark, rows)
     got = {r.doc_id: r for r in toxicity.score_documents(df, toxicity.quality_labels(labels(spark, marks))).collect()}
-    wrong = [i for i in range(160, 240) if got[i].toxic != (i % 4 == 0)]
+    wrong = [i for i in range(400, 480) if got[i].toxic != (i % 4 == 0)]
     assert not wrong and not got[500].toxic and not got[501].toxic
     left = toxicity.drop_toxic(df, toxicity.quality_labels(labels(spark, marks)))
-    assert left.columns == df.columns and left.count() == 182
+    assert left.columns == df.columns and left.count() == 362
 
 
 def test_toxicity_without_labels_rejects_nothing(spark, judged):
