@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import DATE, LOCATION, RAW_VALUE
-from .slices import SLICE, SLICE_KEY, needs_slices, with_slices
+from .slices import SLICE, SLICE_KEY, needs_slices, null_safe_join, with_slices
 
 MIN_ROWS = 3
 
@@ -108,7 +108,7 @@ def _filter_sliced(
         **{f"_lag{n}": F.lag(value, n).over(w) for n in range(1, half + 1)},
         **{f"_lead{n}": F.lead(value, n).over(w) for n in range(1, half + 1)},
     })
-    judged = shifted.join(halo, list(SLICE_KEY)).withColumn(
+    judged = null_safe_join(shifted, halo, SLICE_KEY).withColumn(
         value, _judge(value, neighbour, half, threshold, F.col("_location_rows"))
     )
     return judged.select(*df.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION, RAW_VALUE
-from .slices import SLICE_KEY, needs_slices, slice_stats, with_slices
+from .slices import SLICE_KEY, needs_slices, null_safe_join, slice_stats, with_slices
 
 
 def _with_stats(df: DataFrame, value: str, group: tuple[str, ...], hot: dict) -> DataFrame:
@@ -14,7 +14,7 @@ def _with_stats(df: DataFrame, value: str, group: tuple[str, ...], hot: dict) ->
     else slice by slice."""
     if needs_slices(df, **hot):
         sliced = with_slices(df, **hot)
-        return sliced.join(slice_stats(sliced, value, group), list(SLICE_KEY))
+        return null_safe_join(sliced, slice_stats(sliced, value, group), SLICE_KEY)
     part = Window.partitionBy(*group)
     return df.withColumn("calendar_month", F.month(DATE)).withColumns({
         "location_rows": F.count(F.lit(1)).over(Window.partitionBy(LOCATION)),

@@ -44,7 +44,11 @@ def with_slices(
         return out.withColumns({
             "slice_day": F.col("slice_month"), "slice_part": F.lit(0).cast("long"),
         })
-    out = out.join(F.broadcast(full), [LOCATION, "slice_month"], "left")
+    full = full.withColumnsRenamed({LOCATION: "_hot_location", "slice_month": "_hot_month"})
+    same = F.col(LOCATION).eqNullSafe(F.col("_hot_location")) & F.col("slice_month").eqNullSafe(
+        F.col("_hot_month")
+    )
+    out = out.join(F.broadcast(full), same, "left")
     if order_by is None:
         part = F.pmod(F.xxhash64(*df.columns), F.col(PARTS))
     else:
@@ -61,6 +65,15 @@ def with_slices(
     }).select(*df.columns, *SLICE)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Inner join in which nulls of the key meet, with the key's columns once."""
+    other = right.select(*[
+        F.col(c).alias(f"_right_{c}") if c in key else F.col(c) for c in right.columns
+    ])
+    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in key]
+    return left.join(other, same).drop(*[f"_right_{c}" for c in key])
+
+
 def slice_stats(sliced: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
     """Per slice: row count, valid count, mean and population deviation of its ``group``.
 
