@@ -99,8 +99,9 @@ def fit_rates(
     """(rate column, expected tokens per domain, targets) for rows with ``tokens`` and ``p``.
 
     Targets share out the corpus' tokens, or with ``grow`` as many as the scarcest domain
-    needs at the lowest rate.  The squared gaps are weighed by the inverse targets, which makes small domains
-    count; the step is the inverse of the largest curvature.
+    needs at the lowest rate.  The gaps are weighed by the inverse of the domains' Gram matrix
+    (tokens x posterior x posterior): there all curvatures are 1, the step is 1, and only
+    documents held at the lowest rate make further steps necessary.
     """
     k = len(weights)
     p, n = F.col("p"), F.col("tokens")
@@ -114,9 +115,7 @@ def fit_rates(
     curve = curve + np.triu(curve, 1).T
     total = max(mass[i] / weights[i] for i in range(k) if weights[i] > 0) if grow else float(sums[0])
     target = total * weights
-    scale = 1 / np.maximum(target, 0.01 * total)
-    root = np.sqrt(scale)
-    step = 1 / np.linalg.eigvalsh(root[:, None] * curve * root[None]).max()
+    metric = np.linalg.pinv(curve, rcond=1e-9, hermitian=True)
     steps: list[np.ndarray] = []
     reached = mass * max(1.0, lowest)
     before = np.inf
@@ -125,7 +124,7 @@ def fit_rates(
         if gap < tolerance or abs(before - gap) < tolerance / 100:
             break  # met, or as near as nonnegative rates come
         before = gap
-        steps.append(step * scale * (reached - target))
+        steps.append(metric @ (reached - target))
         rate = rate_after(steps, lowest)
         reached = np.array(rows.agg(*[F.sum(rate * n * p[i]) for i in range(k)]).first(), float)
     return rate_after(steps, lowest), reached, target
