@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from urllib.parse import urlsplit
 
@@ -19,7 +20,7 @@ def shared_base(spark: SparkSession) -> str:
     base = spark.conf.get(SETTING, None)
     if base:
         return base.rstrip("/")
-    base = spark.conf.get(WAREHOUSE)
+    base = spark.conf.get(WAREHOUSE, os.path.abspath("spark-warehouse"))  # Spark's own default
     master = spark.conf.get("spark.master", "local")
     if urlsplit(base).scheme in ("", "file") and not master.split("[")[0] == "local":
         raise ValueError(f"set {SETTING} to a folder that driver and executors share")
