@@ -8,10 +8,10 @@ from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import DATE, LOCATION, RAW_VALUE
-from .slices import SLICE, SLICE_KEY, needs_slices, null_safe_join, with_slices
+from .joins import null_safe_join
+from .slices import SLICE, SLICE_KEY, needs_slices, with_slices
 
 MIN_ROWS = 3
 
@@ -44,8 +44,7 @@ def consistency_filter(
     ``tie_break`` orders rows of one date.  Where a location has too many rows for one
     task, its rows are worked on slice by slice, each slice seeing the ``window // 2``
     rows next to it, with the same result; otherwise one plain window per location does.
-    (Ties of a crowded day that start with text are ordered by a hash instead.)  Finding
-    that out takes a narrow pass, unless ``one_row_per_date`` says that the calendar already
+    Finding that out takes a narrow pass, unless ``one_row_per_date`` says that the calendar already
     bounds a location (a resampled series).
     """
     half = window // 2
@@ -68,9 +67,7 @@ def _filter_sliced(
 ) -> DataFrame:
     inside = Window.partitionBy(*SLICE_KEY)
     w = inside.orderBy(*order)
-    first = order[1]  # what orders the rows of one date
-    numeric = isinstance(df.schema[first].dataType, T.NumericType)
-    rows = with_slices(df, first if numeric else None, **hot).withColumns({
+    rows = with_slices(df, order[1:], **hot).withColumns({
         "_pos": F.row_number().over(w),
         "_rows": F.count(F.lit(1)).over(inside),
     })

@@ -2,18 +2,19 @@
 
 Raw observations have no bound on rows per location, so a window over one location
 could put any share of the table into one task.  A slice is a (location, month) cell; a
-cell that is itself too full is cut again by day and, within a day, into ranges of the
-column that orders its rows.
+cell that is itself too full is cut again by day and, within a day, into ranges of what
+orders its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION
+from ..sources.shared import stored
 from .hot import HOT_ROWS, HOT_SHARE, PARTS, hot_groups
 
 SLICE = ("slice_month", "slice_day", "slice_part")
@@ -27,78 +28,30 @@ def needs_slices(df: DataFrame, min_rows: int = HOT_ROWS, share: float = HOT_SHA
 
 def with_slices(
     df: DataFrame,
-    order_by: str | None = None,
+    order_by: str | Sequence[str],
     min_rows: int = HOT_ROWS,
     share: float = HOT_SHARE,
 ) -> DataFrame:
     """Add the slice columns.
 
-    ``order_by`` is the numeric column that orders rows of one date: a full cell's days
-    are cut into equal ranges of it, so slices follow the order of the rows.  Without it
-    they are cut by a hash of the row.  Neither parts exact copies of a row: read files
-    with a row number, and order by that, where copies may fill a cell.
+    ``order_by`` orders the rows of one date, by columns of any kind that can be sorted.  The
+    rows of full cells are cut into ranges of (location, date, order) of about equal size,
+    by Spark's range partitioning, and stored, so that the cuts stay what they are should a
+    task run again; slices follow the order of the rows.  Exact ties are not parted: read
+    files with a row number, and order by that, where copies may fill a cell.
     """
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
     out = df.withColumn("slice_month", F.trunc(DATE, "month"))
-    full = hot_groups(out, [LOCATION, "slice_month"], min_rows, share, ends_of=order_by)
+    whole = {"slice_day": F.col("slice_month"), "slice_part": F.lit(0).cast("long")}
+    full = hot_groups(out, [LOCATION, "slice_month"], min_rows, share)
     if full is None:
-        return out.withColumns({
-            "slice_day": F.col("slice_month"), "slice_part": F.lit(0).cast("long"),
-        })
-    full = full.withColumnsRenamed({LOCATION: "_hot_location", "slice_month": "_hot_month"})
-    same = F.col(LOCATION).eqNullSafe(F.col("_hot_location")) & F.col("slice_month").eqNullSafe(
-        F.col("_hot_month")
-    )
-    out = out.join(F.broadcast(full), same, "left")
-    if order_by is None:
-        part = F.pmod(F.xxhash64(*df.columns), F.col(PARTS))
-    else:
-        along = F.try_divide(
-            F.col(order_by).cast("double") - F.col("hot_low"),
-            F.col("hot_high") - F.col("hot_low"),
-        )
-        part = F.floor(along * F.col(PARTS))
-    return out.withColumns({
-        "slice_day": F.when(F.col(PARTS).isNotNull(), F.col(DATE)).otherwise(
-            F.col("slice_month")
-        ),
-        "slice_part": F.coalesce(part, F.lit(0).cast("long")),
-    }).select(*df.columns, *SLICE)
-
-
-def null_safe_join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Inner join in which nulls of the key meet, with the key's columns once."""
-    other = right.select(*[
-        F.col(c).alias(f"_right_{c}") if c in key else F.col(c) for c in right.columns
-    ])
-    same = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in key]
-    return left.join(other, same).drop(*[f"_right_{c}" for c in key])
-
-
-def slice_stats(sliced: DataFrame, value: str, group: Sequence[str]) -> DataFrame:
-    """Per slice: row count, valid count, mean and population deviation of its ``group``.
-
-    Slices reduce map-side; the groups are then put together from slices, whose number
-    per location is bounded by the calendar.
-    """
-    by_slice = sliced.groupBy(*SLICE_KEY).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(value).alias("_n"),
-        F.coalesce(F.avg(value), F.lit(0.0)).alias("_mean"),
-        F.coalesce(F.var_pop(value) * F.count(value), F.lit(0.0)).alias("_m2"),
-    ).withColumn("calendar_month", F.month("slice_month"))
-    whole, part = Window.partitionBy(LOCATION), Window.partitionBy(*group)
-    means = by_slice.withColumns({
-        "location_rows": F.sum("_rows").over(whole),
-        "group_rows": F.sum("_rows").over(part),
-        "group_valid": F.sum("_n").over(part),
-        "group_mean": F.try_divide(
-            F.sum(F.col("_mean") * F.col("_n")).over(part), F.sum("_n").over(part)
-        ),
+        return out.withColumns(whole)
+    ranges = 2 * full.agg(F.sum(PARTS)).first()[0]  # sampled cuts: aim at half a slice
+    key = (LOCATION, "slice_month")
+    same = [F.col(c).eqNullSafe(F.col(f"hot_{c}")) for c in key]
+    full = F.broadcast(full.select(*[F.col(c).alias(f"hot_{c}") for c in key]))
+    by = [c for c in dict.fromkeys([LOCATION, DATE, *order])]
+    crowded = out.join(full, same, "left_semi").repartitionByRange(ranges, *by).withColumns({
+        "slice_day": F.col(DATE), "slice_part": F.spark_partition_id().cast("long"),
     })
-    gap = F.col("_mean") - F.col("group_mean")
-    spread = F.sum(F.col("_m2") + F.col("_n") * gap * gap).over(part)
-    return means.withColumn(
-        "group_std", F.sqrt(F.try_divide(spread, F.col("group_valid")))
-    ).select(
-        *SLICE_KEY, "location_rows", "group_rows", "group_valid", "group_mean", "group_std"
-    )
+    return out.join(full, same, "left_anti").withColumns(whole).unionByName(stored(crowded, "slices"))

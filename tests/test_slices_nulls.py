@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from phenospark.operators.consistency import consistency_filter
 from phenospark.operators.outliers import flag_global_outliers, flag_seasonal_outliers
+from phenospark.operators.slices import with_slices
 
 SLICED = {"min_rows": 5, "share": 0.0}
 
@@ -29,3 +30,17 @@ def test_sliced_equals_plain(rows, work):
     sliced = work(rows, **SLICED)
     assert sliced.count() == 53
     assert plain(sliced) == plain(work(rows))
+
+
+@pytest.mark.parametrize("day_rows", ["text", "equal", "extreme"])
+def test_crowded_day_is_cut_by_rank(spark, day_rows):
+    day, found = dt.date(2020, 1, 1), []
+    for k in range(400):
+        value = {"text": (k * 37 % 100) / 100, "equal": 0.5, "extreme": 1e9 if k == 7 else k * 37 % 100 / 100}[day_rows]
+        found.append(("a", day, f"tag {k * 7919 % 401:03}", value))
+    df = spark.createDataFrame(found, "location_id string, date date, tag string, ndvi_raw double")
+    sizes = with_slices(df, ["tag", "ndvi_raw"], min_rows=50, share=0.0).groupBy("slice_part").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 100
+    work = {"tie_break": ("tag",), "drop": False, "window": 3}
+    plain = sorted(map(str, consistency_filter(df, **work).collect()))
+    assert sorted(map(str, consistency_filter(df, **work, min_rows=50, share=0.0).collect())) == plain
