@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from ..operators.smooth import projection
 from ..schema import PHENOLOGY_BANDS
 
 PI = "3.141592653589793"
@@ -20,6 +19,16 @@ SAVGOL_5_2 = (
     (-5, 6, 12, 13, 9),
     (3, -5, -3, 9, 31),
 )
+# 42 times the least-squares weights of a cubic over seven points.
+SAVGOL_7_3 = (
+    (39, 8, -4, -4, 1, 4, -2),
+    (8, 19, 16, 6, -4, -7, 4),
+    (-4, 16, 19, 12, 2, -4, 1),
+    (-4, 6, 12, 14, 12, 6, -4),
+    (1, -4, 2, 12, 19, 16, -4),
+    (4, -7, -4, 6, 16, 19, 8),
+    (-2, 4, 1, -4, -4, 8, 39),
+)
 
 LAT = "CAST({k} * 37 % 181 - 90 AS DOUBLE)"
 LON = "CAST({k} * 73 % 361 - 180 AS DOUBLE)"
@@ -580,7 +589,6 @@ f AS (SELECT *, n >= 12 AND k >= 3 AND sd <> 0 AND coalesce(abs((ndvi_raw - m) /
         "latitude", "longitude", "ndvi_raw", "ndvi_smoothed", *CALENDAR_DOUBLES,
         *rolling_names(), *lag_names(), "latitude_abs", *INTERACTIONS,
     )
-    weights_7_3 = [[float(w) for w in row] for row in projection(7, 3)]
     raw_calendar = CALENDAR.replace(
         ", CAST(weekofyear(date) AS INTEGER) AS week_of_year", "")
 
@@ -614,7 +622,7 @@ f AS (SELECT *, n >= 12 AND k >= 3 AND sd <> 0 AND coalesce(abs((ndvi_raw - m) /
             f"{GAPPY}, {interpolated('position', NEAREST)}", "filled", *gap_series),
         "savgol_5_2": out(
             f"{GAPPY}, {smoothed('gappy', 'sm', SAVGOL_5_2, 35)}", "sm", *smooth_series),
-        "savgol_7_3": out(f"{GAPPY}, {smoothed('gappy', 'sm', weights_7_3)}", "sm", *smooth_series),
+        "savgol_7_3": out(f"{GAPPY}, {smoothed('gappy', 'sm', SAVGOL_7_3, 42)}", "sm", *smooth_series),
         "preprocess_series": out(PROCESSED, "processed", *smooth_series),
         "preprocess_filled": out(
             f"{MONTHLY}, gappy AS (SELECT * FROM monthly), {interpolated('position', LINE)}, "
@@ -798,5 +806,7 @@ FROM obs GROUP BY 1, 2""",
             "date <= m - INTERVAL 62 DAYS AND date <= (SELECT max(date_trunc('month', o.date)) "
             "FROM obs o WHERE o.location_id = wide.location_id "
             "AND date_trunc('month', o.date) <= m - INTERVAL 62 DAYS)"),
+        "stream_features_latest": out(
+            _trailing(), "wide", BASE, ("value", *rolling_names(), *lag_names())),
     }
     return sql

@@ -569,6 +569,7 @@ def stream_month(spark, d):
 
 
 def stream_features(spark, d):
+    """Months that the watermark has closed, each given once."""
     home = shared_folder(spark, "stream-features")
     obs = t.keyed(t.raw_observations(_stream(spark, d, "lineitem")))
     months = jobs.monthly_stream(obs)
@@ -578,6 +579,16 @@ def stream_features(spark, d):
     return spark.read.schema(jobs.TRAILING).parquet(f"{home}/table")
 
 
+def stream_features_latest(spark, d):
+    """All months, the open ones as they stand."""
+    home = shared_folder(spark, "stream-features-latest")
+    obs = t.keyed(t.raw_observations(_stream(spark, d, "lineitem")))
+    _run(jobs.write_updates(jobs.monthly_stream(obs), f"{home}/months", f"{home}/months-state"))
+    months = spark.readStream.schema(jobs.MONTH_UPDATES).parquet(f"{home}/months")
+    _run(jobs.write_updates(jobs.trailing_stream(months, "update"), f"{home}/table", f"{home}/state"))
+    return jobs.latest_updates(spark.read.parquet(f"{home}/table"), KEYS).select(jobs.TRAILING.names)
+
+
 _ALL = (
     clean_scale_clip, clean_compact_key, lenient_dates, coordinate_check, cloud_mask,
     cloud_flag, outlier_global, outlier_seasonal, consistency,
@@ -598,7 +609,7 @@ _ALL = (
     model_overlay,
     bbox_date_filter, band_select, grid_points, sample_nearest, sample_phenology,
     union_normalise, summary, doy_dates, demo_bloom,
-    stream_score, stream_month, stream_features,
+    stream_score, stream_month, stream_features, stream_features_latest,
 )
 # Names that read better than the function's, which would hide an imported one.
 _NAMES = {"consistency": "consistency_filter", "request_answers": "score_requests"}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -19,6 +20,7 @@ from ..operators.train import BloomModel, predict
 from ..schema import DATE, LOCATION, RAW_VALUE
 
 MEMORY = 12  # months a trailing feature may look back
+OPEN = 4  # newest months of a place that may still change
 
 
 def score_stream(observations: DataFrame) -> DataFrame:
@@ -71,82 +73,107 @@ TRAILING = T.StructType([
         for n in WINDOWS for s in ("mean", "std", "min", "max", "slope")
     ],
 ])
-_STATE = T.StructType([
-    T.StructField("last_month", T.IntegerType()),
+MONTH_UPDATES = T.StructType([*MONTHS.fields, T.StructField("batch", T.IntegerType())])
+_RECENT = T.StructType([
+    T.StructField(LOCATION, T.StringType()),
+    T.StructField(DATE, T.DateType()),
     T.StructField("recent", T.ArrayType(T.DoubleType())),
 ])
-
-
-def _slope(window: np.ndarray) -> float:
-    place = np.arange(len(window))[~np.isnan(window)]
-    seen = window[~np.isnan(window)]
-    if len(seen) < 2:
-        return np.nan
-    place = place - place.mean()
-    return float((place * seen).sum() / (place * place).sum())
-
-
-def trailing_rows(
-    location: str, start: int, months: np.ndarray, fresh: int
-) -> pd.DataFrame:
-    """Trailing features of the last ``fresh`` of consecutive months from ``start``."""
-    series = pd.Series(months)
-    out = {"value": series}
-    for k in PERIODS:
-        out[f"ndvi_lag_{k}"] = series.shift(k)
-        out[f"ndvi_diff_{k}"] = series.diff(k)
-    for n in WINDOWS:
-        frame = series.rolling(n, min_periods=1)
-        out[f"ndvi_mean_{n}"], out[f"ndvi_std_{n}"] = frame.mean(), frame.std()
-        out[f"ndvi_min_{n}"], out[f"ndvi_max_{n}"] = frame.min(), frame.max()
-        out[f"ndvi_slope_{n}"] = frame.apply(_slope, raw=True)
-    table = pd.DataFrame(out)
-    index = np.arange(start, start + len(months))
-    table.insert(0, DATE, pd.to_datetime([f"{i // 12}-{i % 12 + 1:02d}-01" for i in index]).date)
-    table.insert(0, LOCATION, location)
-    return table.tail(fresh)
+_STATE = T.StructType([
+    T.StructField("first_month", T.IntegerType()),
+    T.StructField("months", T.ArrayType(T.DoubleType())),
+])
 
 
 def _advance(
     key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
-    """Take newly closed months in order; keep only the last twelve months as state."""
+    """Each new or changed month and those after it, with the twelve months before; the state
+    is the latest ``MEMORY + OPEN`` months."""
     rows = pd.concat(list(batches), ignore_index=True)
     if not len(rows):
         return
+    if "batch" in rows:
+        rows = rows.sort_values("batch", kind="stable")  # the newest word on a month counts
     stamp = pd.to_datetime(rows["month"])
-    closed = pd.Series(
-        rows["month_mean"].to_numpy(dtype="float64"),
-        index=(stamp.dt.year * 12 + stamp.dt.month - 1).to_numpy(),
-    ).sort_index()
-    last, recent = None, np.empty(0)
-    if state.exists:
-        last, kept = state.get
-        recent = np.array([np.nan if v is None else v for v in kept], dtype="float64")
-        closed = closed[closed.index > last]
-        if not len(closed):
-            return
-    first = closed.index[0] if last is None else last + 1
-    grid = closed.reindex(range(first, closed.index[-1] + 1)).to_numpy()
-    months = np.concatenate([recent, grid])
-    yield trailing_rows(key[0], first - len(recent), months, len(grid))
-    tail = [None if np.isnan(v) else float(v) for v in months[-MEMORY:]]
-    state.update((int(closed.index[-1]), tail))
-
-
-def trailing_stream(closed_months: DataFrame) -> DataFrame:
-    """Lag, difference and rolling features of each month that has closed.
-
-    The input streams the table that ``monthly_stream`` appends to: one row per location
-    and month, months of a location in order, so a busy location costs no more than a
-    quiet one.  The state per location is its last twelve months.  Empty months count as
-    missing values, as in the batch resample.
-    """
-    return closed_months.groupBy(LOCATION).applyInPandasWithState(
-        _advance, TRAILING, _STATE, "append", GroupStateTimeout.NoTimeout
+    number = (stamp.dt.year * 12 + stamp.dt.month - 1).tolist()
+    changed = dict(zip(number, rows["month_mean"].tolist(), strict=True))
+    first, held = state.get if state.exists else (min(changed), [])
+    last = first + len(held) - 1
+    changed = {m: v for m, v in changed.items() if not len(held) or m > last - OPEN}
+    if not changed:
+        return
+    begin, end = min(first, *changed), max(last, *changed)
+    months: list[float | None] = [None] * (end - begin + 1)
+    months[first - begin:first - begin + len(held)] = held
+    for m, v in changed.items():
+        months[m - begin] = None if v is None or np.isnan(v) else v
+    fresh = range(min(last + 1, *changed) if len(held) else begin, end + 1)  # gaps too
+    yield pd.DataFrame({
+        LOCATION: key[0],
+        DATE: [dt.date(m // 12, m % 12 + 1, 1) for m in fresh],
+        "recent": [months[max(0, m - begin - MEMORY):m - begin + 1] for m in fresh],
+    })
+    kept = months[-(MEMORY + OPEN):]
+    state.update((end - len(kept) + 1, kept))
+
+
+def trailing_columns(recent: DataFrame) -> DataFrame:
+    """Lag, difference and rolling features from the array of the last months."""
+
+    def back(k: int) -> Column:
+        return F.get("recent", F.size("recent") - 1 - k)
+
+    def total(array: str, term) -> Column:
+        return F.aggregate(array, F.lit(0.0), lambda t, x: t + term(x))
+
+    windows = {n: F.slice("recent", F.greatest(F.size("recent") - (n - 1), F.lit(1)), n) for n in WINDOWS}
+    seen = recent.withColumns({
+        f"seen_{n}": F.filter(
+            F.transform(w, lambda v, i: F.struct(i.cast("double").alias("i"), v.alias("v"))),
+            lambda x: x["v"].isNotNull(),
+        ) for n, w in windows.items()
+    })
+    seen = seen.withColumns({
+        f"{name}_{n}": F.try_divide(total(f"seen_{n}", lambda x, f=field: x[f]), F.size(f"seen_{n}"))
+        for n in WINDOWS for name, field in (("place", "i"), ("mean", "v"))
+    })
+
+    def rolling(n: int) -> dict[str, Column]:
+        array, place, mean = f"seen_{n}", F.col(f"place_{n}"), F.col(f"mean_{n}")
+        several = F.size(array) > 1
+        spread = total(array, lambda x: (x["v"] - mean) * (x["v"] - mean))
+        along = total(array, lambda x: (x["i"] - place) * x["v"])
+        width = total(array, lambda x: (x["i"] - place) * (x["i"] - place))
+        return {
+            "mean": mean, "std": F.when(several, F.sqrt(F.try_divide(spread, F.size(array) - 1))),
+            "min": F.array_min(windows[n]), "max": F.array_max(windows[n]),
+            "slope": F.when(several, F.try_divide(along, width)),
+        }
+
+    return seen.select(
+        LOCATION, DATE, back(0).alias("value"),
+        *[back(k).alias(f"ndvi_lag_{k}") for k in PERIODS],
+        *[(back(0) - back(k)).alias(f"ndvi_diff_{k}") for k in PERIODS],
+        *[c.alias(f"ndvi_{s}_{n}") for n in WINDOWS for s, c in rolling(n).items()],
     )
 
 
+def trailing_stream(months: DataFrame, mode: str = "append") -> DataFrame:
+    """Lag, difference and rolling features of each month of a place.
+
+    The input streams a table of monthly means: the closed months that ``monthly_stream``
+    appends, or with ``mode="update"`` all changes that ``write_updates`` keeps
+    (``MONTH_UPDATES``), whose output repeats what a change touches and is read with
+    ``latest_updates``.  A busy place costs no more than a quiet one.  The state per place is
+    its last ``MEMORY + OPEN`` months; lateness up to 62 days leaves fewer than ``OPEN``
+    months to change.  Empty months count as missing values, as in the batch resample.
+    """
+    return trailing_columns(months.groupBy(LOCATION).applyInPandasWithState(
+        _advance, _RECENT, _STATE, mode, GroupStateTimeout.NoTimeout
+    ))
+
+
 def write_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet table, exactly once, from what is available now."""
     return (

@@ -117,3 +117,24 @@ def test_trailing_features_equal_the_batch_over_restarts(spark, feed):
                 assert row[name] is None, name
             else:
                 assert row[name] == pytest.approx(expected, abs=1e-9), name
+
+
+def test_trailing_updates_reach_the_open_months(spark, feed):
+    rng = random.Random(4)
+    late = [("a", 1.0, 2.0, dt.date(2020, 8, 9), 0.9)]  # changes a month that was given before
+    for rows in (months("a", 0, 9, rng) + months("b", 2, 7, rng), late + months("a", 9, 9, rng), months("b", 20, 3, rng)):
+        feed.add(rows)
+        jobs.write_updates(
+            jobs.monthly_stream(feed.stream()), feed.at("months"), feed.at("months-state")).awaitTermination()
+        changes = spark.readStream.schema(jobs.MONTH_UPDATES).parquet(feed.at("months"))
+        jobs.write_updates(
+            jobs.trailing_stream(changes, "update"), feed.at("out"), feed.at("state")).awaitTermination()
+    table = jobs.latest_updates(spark.read.parquet(feed.at("out")), ("location_id", "date"))
+    got = {(r["location_id"], r["date"]): r for r in table.collect()}
+    batch = features.add_lags(resample(feed.batch()), "ndvi_raw")
+    batch = features.add_differences(features.add_rolling(batch, "ndvi_raw"), "ndvi_raw")
+    wanted = {(r["location_id"], r["date"]): r for r in batch.collect()}
+    assert set(got) == set(wanted)
+    for key, full in wanted.items():
+        for name in jobs.TRAILING.names[3:]:
+            assert got[key][name] == (None if full[name] is None else pytest.approx(full[name], abs=1e-9)), (key, name)
