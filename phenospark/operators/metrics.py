@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import stored
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 10_000
 
 
 def _count(test: Column) -> Column:
@@ -133,14 +130,15 @@ def score_steps(
 ) -> ScoreSteps:
     """Per distinct score, its positives and negatives and those at or above it.
 
-    The counts per score are stored, since quantiles, range sums and running sums each
-    read them.  Scores are cut into ranges of about ``rows_per_range`` distinct ones; the
-    running sums are windows over a range plus the sums of the ranges above, and only
-    those range sums (at most ``MAX_RANGES`` rows) meet in one task.
+    A NaN score counts as missing, as a null does.  The counts per score are stored, since
+    range sums and running sums each read them.  Spark's range partitioning cuts the scores
+    into ranges of about ``rows_per_range`` distinct ones, stored as well, so that the cuts
+    stay what they are; the running sums are windows over a range plus the sums of the ranges
+    above, and only those range sums meet in one task.
     """
     y = F.col(label)
     steps = stored(
-        df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("threshold")).agg(
+        df.where(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(F.col(score).alias("threshold")).agg(
             _count(y == 1).alias("pos"), _count(y == 0).alias("neg")
         ),
         "score-steps",
@@ -148,17 +146,13 @@ def score_steps(
     scores, pos, neg = steps.agg(
         F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
     ).first()
-    ranges = max(1, min(MAX_RANGES, scores // rows_per_range))
-    cuts = sorted(set(steps.approxQuantile(
-        "threshold", [i / ranges for i in range(1, ranges)], 0.1 / ranges
-    ))) if ranges > 1 else []
-    if cuts:
-        edges = [-math.inf, *cuts, math.inf]
-        ranged = Bucketizer(
-            splits=edges, inputCol="threshold", outputCol="_range"
-        ).transform(steps)
+    ranges = -(-scores // rows_per_range)
+    if ranges > 1:
+        ranged = stored(
+            steps.repartitionByRange(ranges, "threshold").withColumn("_range", F.spark_partition_id()), "score-ranges"
+        )
     else:
-        ranged = steps.withColumn("_range", F.lit(0.0))
+        ranged = steps.withColumn("_range", F.lit(0))
     above = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("_range").agg(
         F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg")

@@ -50,6 +50,14 @@ def test_auc_counts_ties_half(spark):
     assert metrics.curve_areas(df).first()["roc_auc"] == pytest.approx(0.875)
 
 
+@pytest.mark.parametrize("per_range", [1_000_000, 7])
+def test_nan_scores_count_as_missing(spark, per_range):
+    rows = [(i % 2, i / 100) for i in range(100)]
+    plain = metrics.score_steps(scored(spark, rows), rows_per_range=per_range).rows.collect()
+    more = scored(spark, [*rows, (1, float("nan")), (0, None)])
+    assert sorted(metrics.score_steps(more, rows_per_range=per_range).rows.collect()) == sorted(plain)
+
+
 def test_one_class_has_no_area(spark):
     row = metrics.curve_areas(scored(spark, [(1, 0.9), (1, 0.4)])).first()
     assert row["roc_auc"] is None and row["pr_auc"] is None
