@@ -18,7 +18,8 @@ def resample(
 ) -> DataFrame:
     """Mean per location and period, empty periods as NULL rows, dated at the period start.
 
-    Locations with fewer than ``min_points`` rows are left out.  The means reduce
+    Locations with fewer than ``min_points`` rows are left out.  The coordinates are those
+    of the location's first row, the least pair where several share its date.  The means reduce
     map-side, so a location holding most of the table costs one row per period; the
     window that finds the gaps then sees at most one row per location and period.
     """
@@ -27,14 +28,13 @@ def resample(
     ).agg(
         F.avg(value).alias("period_mean"),
         F.count(F.lit(1)).alias("period_rows"),
-        F.min_by("latitude", DATE).alias("period_lat"),
-        F.min_by("longitude", DATE).alias("period_lon"),
+        F.min(F.struct(DATE, "latitude", "longitude")).alias("period_place"),
     )
     whole = Window.partitionBy(LOCATION)
     w = whole.orderBy("period")
     seen = cells.withColumns({
-        "latitude": F.first("period_lat").over(w),
-        "longitude": F.first("period_lon").over(w),
+        "latitude": F.first("period_place.latitude").over(w),
+        "longitude": F.first("period_place.longitude").over(w),
         "next_period": F.lead("period").over(w),
         "location_rows": F.sum("period_rows").over(whole),
     }).where(F.col("location_rows") >= min_points)

@@ -75,7 +75,7 @@ def model_pipeline(
         featuresCol="scaled", labelCol="label", seed=SEED, **params
     )
     return Pipeline(stages=[
-        Imputer(strategy="median", inputCols=list(features), outputCols=filled),
+        Imputer(strategy="median", inputCols=list(features), outputCols=filled, relativeError=1e-4),
         VectorAssembler(inputCols=filled, outputCol="assembled", handleInvalid="keep"),
         StandardScaler(inputCol="assembled", outputCol="scaled", withMean=True, withStd=True),
         model,

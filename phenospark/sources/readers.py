@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +29,10 @@ def _read(
         return spark.read.schema(schema).option("header", True).option(
             "enforceSchema", False
         ).csv(paths)
-    return spark.read.format(fmt).load(paths)
+    found = spark.read.format(fmt).load(paths)
+    known = {f.name: f for f in schema}
+    # a column of another kind fails here, before any job
+    return found.to(T.StructType([known.get(f.name, f) for f in found.schema]))
 
 
 def read_raw(
@@ -49,18 +53,18 @@ def read_processed(
     return require_columns(_read(spark, path, PROCESSED, fmt), PROCESSED_REQUIRED)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 def read_labels(
     spark: SparkSession, path: str | None, fmt: str = "parquet"
 ) -> DataFrame | None:
-    """Labels, or None when there is no path or nothing at it."""
-    if path is None or not path_exists(spark, path):
+    """Labels, or None when there is no path or nothing at it; a path may be a glob."""
+    if path is None:
+        return None
+    try:
+        return _read(spark, path, LABELS, fmt)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return _read(spark, path, LABELS, fmt)
 
 
 def load_training_tables(

@@ -45,10 +45,11 @@ def write_table(
     """Write a stage's table; ``by_year`` lays it out for date-range pruning and
     ``order_by`` sorts the whole of it, which nothing downstream needs."""
     if by_year:
-        # rows of one year come together first, or every task would open every year
+        # rows of one year come together, or every task would open every year; adaptive
+        # execution then cuts a year into as many pieces of the advised size as it needs
         if "year" not in df.columns:
             df = df.withColumn("year", F.year(DATE))
-        df = df.repartition("year", F.pmod(F.xxhash64(LOCATION), F.lit(64)))
+        df = df.hint("rebalance", "year")
     if order_by:
         df = df.orderBy(*order_by)
     writer = df.write.mode(mode).format(fmt)
