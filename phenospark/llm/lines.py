@@ -28,28 +28,38 @@ def normalise(unit: str) -> str:
 
 def spans(text: str) -> list[tuple[int, int]]:
     """Lines and, in lines of several sentences, the sentences: code points, end exclusive."""
+    return [(a, b) for a, b, _ in marked_spans(text)]
+
+
+def marked_spans(text: str) -> list[tuple[int, int, bool]]:
+    """The spans, and whether each is a whole line."""
     found = []
     for line in _LINE.finditer(text):
         a, b = line.span()
         inside = [m.span() for m in _SENTENCE.finditer(text, a, b)]
         if inside:
-            found.append((inside[0][0], inside[-1][1]))
+            found.append((inside[0][0], inside[-1][1], True))
             if len(inside) > 1:
-                found += inside
+                found += [(*span, False) for span in inside]
     return found
 
 
 def units(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS,
+    least_line_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """One row per unit of at least ``least_words`` words: doc_id, start, end, digest halves."""
+    """One row per unit: doc_id, start, end, digest halves.
+
+    Whole lines count from ``least_line_words`` words on (1: every line that is not blank), sentences
+    inside lines from ``least_words`` on.
+    """
 
     def make():
         def work(columns):
             for doc_id, text in zip(columns["doc_id"].to_pylist(), columns["text"].to_pylist(), strict=True):
-                for a, b in spans(text):
+                for a, b, line in marked_spans(text):
                     words = text[a:b].lower().split()
-                    if len(words) >= least_words:
+                    if len(words) >= (least_line_words if line else least_words):
                         digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
                         yield doc_id, a, b, int.from_bytes(digest[:8], signed=True), int.from_bytes(
                             digest[8:], signed=True
@@ -62,6 +72,7 @@ def units(
 
 def repeated_units(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS,
+    least_line_words: int = LEAST_WORDS,
 ) -> DataFrame:
     """One row per unit to remove: doc_id, start, end, keep_doc_id, keep_start, copies.
 
@@ -70,7 +81,7 @@ def repeated_units(
     first go only where their rank differs.  Digests are reduced map-side; only those that
     occur twice are joined back, and a hot one is split by the join.
     """
-    found = stored(units(df, id_col, text_col, least_words), "units")
+    found = stored(units(df, id_col, text_col, least_words, least_line_words), "units")
     rank = F.struct("doc_id", "start")
     several = stored(
         found.groupBy("high", "low").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("copies"))

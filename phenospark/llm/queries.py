@@ -78,7 +78,7 @@ def op8_warc_capture_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    return lines.repeated_units(read_table(spark, d, "documents"))
+    return lines.repeated_units(read_table(spark, d, "documents"), least_line_words=1)
 
 
 def op10_minhash(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from phenospark.llm import exact_dedup, lines, minhash, mixing, packing, pivots, rans, secrets, toxicity, warc
+from phenospark.llm.queries import queries
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -241,6 +242,15 @@ def test_repeated_units(spark):
     assert clean[9] == ("", []) and clean[5][0].startswith("\nown") and clean[2][0] == rows[1][1] and clean[None][0] == ""
 
 
+def test_short_lines_are_units_of_the_query(spark, tmp_path):
+    rows = [(1, "All rights reserved.\nown text of one"), (2, "own text of two\nall  rights reserved."),
+            (3, "Top\n \n没有空格的一行\nOk. Then."), (4, "没有空格的一行\n \ntop\nOk. But.")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.start, r.end, r.keep_doc_id, r.copies)
+           for r in queries()["op9_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {(2, 16, 37, 1, 2), (4, 0, 7, 3, 2), (4, 10, 13, 3, 2)}
+
+
 def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
