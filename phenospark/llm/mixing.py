@@ -1,14 +1,15 @@
 """Mixing to target weights with soft membership.
 
 A classifier fitted on the labelled table gives every document a posterior over domains.
-Document rates, not negative, are fitted by projected gradient so that the expected tokens
-of each domain (rate x tokens x posterior, summed) match the targets in least squares.  The
-gradient needs one sum per domain over the documents; a document's rate follows from its own
-posterior and the steps so far, so nothing but those sums leaves the executors.
+Document rates, not negative, are fitted by projected steps so that the expected tokens of each
+domain (rate x tokens x posterior, summed) meet the targets, in least squares where nothing meets
+them.  A step needs one sum per domain and pair of domains over the documents; a document's rate
+follows from its own posterior and one multiplier per domain, so nothing but those sums leaves the executors.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
@@ -32,6 +33,7 @@ from .textmodel import (
 
 TOLERANCE = 1e-6
 STEPS = 60
+NEAR = 1e-9  # weight of the distance between multipliers, which keeps the Newton steps finite
 
 
 def label_domains(labels: DataFrame) -> DataFrame:
@@ -82,14 +84,10 @@ def posteriors(
     return docs.mapInArrow(score, schema)
 
 
-def rate_after(steps: list[np.ndarray], lowest: float) -> Column:
-    """A document's rate after gradient steps: start at 1, step along its posterior, project."""
-    if not steps:
-        return F.lit(max(1.0, lowest))
-    moves = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-    return F.aggregate(moves, F.lit(max(1.0, lowest)), lambda r, s: F.greatest(
-        F.lit(lowest), r - sum((F.col("p")[k] * s[k] for k in range(len(steps[0]))), F.lit(0.0))
-    ))
+def rate_at(step: np.ndarray, lowest: float) -> Column:
+    """A document's rate: from 1 along its posterior, held at ``lowest``."""
+    start = F.lit(max(1.0, lowest))
+    return F.greatest(F.lit(float(lowest)), start - sum((F.col("p")[k] * float(x) for k, x in enumerate(step)), F.lit(0.0)))
 
 
 def fit_rates(
@@ -98,36 +96,67 @@ def fit_rates(
 ) -> tuple[Column, np.ndarray, np.ndarray]:
     """(rate column, expected tokens per domain, targets) for rows with ``tokens`` and ``p``.
 
-    Targets share out the corpus' tokens, or with ``grow`` as many as the scarcest domain
-    needs at the lowest rate.  The gaps are weighed by the inverse of the domains' Gram matrix
-    (tokens x posterior x posterior): there all curvatures are 1, the step is 1, and only
-    documents held at the lowest rate make further steps necessary.
+    Of all rates that meet the targets these are nearest to 1 (least squares over tokens).  Targets share
+    out the corpus' tokens; with ``grow`` the shares are met and the total is free.  A rate is 1 less the
+    posterior times one multiplier a domain, held at the lowest rate.  The multipliers are found by Newton
+    steps with a line search; a step's Gram matrix leaves out the documents held.  Where nothing meets the
+    targets, the least-squares optimum comes back, to be told by ``reached``; raises if neither
+    is found in ``most_steps`` passes.
     """
-    k = len(weights)
+    k, start = len(weights), max(1.0, lowest)
     p, n = F.col("p"), F.col("tokens")
-    gram = [F.sum(n * p[i] * p[j]) for i in range(k) for j in range(i, k)]
-    sums = rows.agg(F.sum(n), *[F.sum(n * p[i]) for i in range(k)], *gram).first()
-    if not sums[0]:
-        return rate_after([], lowest), np.zeros(k), np.zeros(k)
-    mass = np.array(sums[1:k + 1], float)
-    curve = np.zeros((k, k))
-    curve[np.triu_indices(k)] = sums[k + 1:]
-    curve = curve + np.triu(curve, 1).T
-    total = max(mass[i] / weights[i] for i in range(k) if weights[i] > 0) if grow else float(sums[0])
-    target = total * weights
-    metric = np.linalg.pinv(curve, rcond=1e-9, hermitian=True)
-    steps: list[np.ndarray] = []
-    reached = mass * max(1.0, lowest)
-    before = np.inf
-    while len(steps) < most_steps:
-        gap = np.abs(reached - target).max() / total
-        if gap < tolerance or abs(before - gap) < tolerance / 100:
-            break  # met, or as near as nonnegative rates come
-        before = gap
-        steps.append(metric @ (reached - target))
-        rate = rate_after(steps, lowest)
-        reached = np.array(rows.agg(*[F.sum(rate * n * p[i]) for i in range(k)]).first(), float)
-    return rate_after(steps, lowest), reached, target
+    upper = np.triu_indices(k)
+
+    def look(step):
+        """Tokens, expected tokens per domain, Gram matrix of the free documents, dual value: one pass."""
+        rate, free = rate_at(step, lowest), start - sum((p[i] * float(step[i]) for i in range(k)), F.lit(0.0))
+        row = rows.agg(
+            F.sum(n), F.sum(n * ((rate - lowest) * (rate - lowest) / 2 + lowest * free)), *[F.sum(n * rate * p[i]) for i in range(k)],
+            *[F.sum(F.when(free >= lowest, n * p[i] * p[j]).otherwise(0.0)) for i, j in zip(*upper, strict=True)],
+        ).first()
+        if not row[0]:
+            return 0.0, 0.0, np.zeros(k), np.zeros((k, k))
+        found, curve = np.array(row[1:], float) / row[0], np.zeros((k, k))
+        curve[upper] = found[k + 1:]
+        return float(row[0]), found[0], found[1:k + 1], curve + np.triu(curve, 1).T
+
+    total, value, reached, curve = look(np.zeros(k))
+    if not total:
+        return rate_at(np.zeros(k), lowest), np.zeros(k), np.zeros(k)
+    # with a free total the sums of (posterior - weight) have to vanish
+    turn = np.eye(k) - np.outer(weights, np.ones(k)) if grow else np.eye(k)
+    target = np.zeros(k) if grow else weights
+    sizes, axes = np.linalg.eigh(turn @ curve @ turn.T)
+    used = sizes > 1e-9 * np.trace(curve)
+    base = turn.T @ (axes[:, used] / np.sqrt(sizes[used]))  # there the first Gram matrix is 1
+    aim = (axes[:, used] / np.sqrt(sizes[used])).T @ target
+    at = middle = np.zeros(used.sum())
+    last, passes = np.inf, 1
+    while True:
+        gap = np.abs(turn @ reached - target).max() / (reached.sum() if grow else 1.0)
+        if gap < tolerance:
+            break
+        slope = aim - base.T @ reached + NEAR * (at - middle)
+        move = -np.linalg.solve(base.T @ curve @ base + NEAR * np.eye(len(at)), slope)
+        whole = value + aim @ at + NEAR / 2 * ((at - middle) ** 2).sum()
+        fall = -slope @ move
+        if fall <= 1e-13 * (1 + abs(whole)):
+            if gap > last / 2:
+                break  # as near as rates from the lowest on come
+            last, middle = gap, at
+            continue
+        size = 1.0
+        while True:
+            if passes >= most_steps:
+                raise RuntimeError(f"rates not found in {most_steps} passes: {reached / reached.sum()}, not {weights}")
+            new = at + size * move
+            _, value, reached, curve = look(base @ new)
+            passes += 1
+            if value + aim @ new + NEAR / 2 * ((new - middle) ** 2).sum() <= whole - 1e-4 * size * fall + 1e-14 * abs(whole):
+                break
+            size /= 4
+        at = new
+    return rate_at(base @ at, lowest), reached * total, weights * total * (reached.sum() if grow else 1.0)
 
 
 def mix(
@@ -151,7 +180,10 @@ def _fitted(docs, domains, weights, lowest, grow, options):
     names = sorted(weights)
     share = np.array([weights[n] for n in names], float)
     rows = stored(posteriors(docs, domains, names, **options), "posteriors")
-    rate, _, _ = fit_rates(rows, share / share.sum(), lowest, grow)
+    rate, reached, target = fit_rates(rows, share / share.sum(), lowest, grow)
+    if np.abs(reached - target).max() > TOLERANCE * max(1.0, target.sum()):
+        shares = ", ".join(f"{n} {x:.6f}" for n, x in zip(names, reached / target.sum(), strict=True))
+        warnings.warn(f"no rates from {lowest} on meet the targets; nearest shares of them: {shares}", stacklevel=3)
     return rows, rate, names
 
 

@@ -295,6 +295,37 @@ def test_mixing_meets_the_targets(spark, judged):
     assert {r.doc_id for r in grown.collect()} == {i for i, _ in rows} and grown.count() >= len(rows)
 
 
+def soft_rows(spark, sharpness, names):
+    rng = np.random.default_rng(3)
+    z = rng.normal(size=(3000, names))
+    z[np.arange(3000), rng.choice(names, 3000, p=[0.6, 0.4] if names == 2 else [0.55, 0.35, 0.1])] += sharpness
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    tokens = rng.integers(1, 2000, 3000)
+    return spark.createDataFrame([(int(n), [float(x) for x in r]) for n, r in zip(tokens, p, strict=True)], "tokens long, p array<double>")
+
+
+@pytest.mark.parametrize("sharpness", [8.0, 3.0, 1.5])
+@pytest.mark.parametrize("weights, lowest, grow", [([0.9, 0.1], 1.0, True), ([0.85, 0.14, 0.01], 0.0, False)])
+def test_rates_meet_the_shares_while_documents_are_held(spark, sharpness, weights, lowest, grow):
+    rows = soft_rows(spark, sharpness, len(weights)).cache()
+    rate, reached, target = mixing.fit_rates(rows, np.array(weights), lowest, grow)
+    got = rows.select("tokens", "p", rate.alias("rate")).collect()
+    found = np.array([sum(r.rate * r.tokens * r.p[k] for r in got) for k in range(len(weights))])
+    assert found == pytest.approx(reached) and reached == pytest.approx(target, abs=2e-6 * target.sum())
+    assert found / found.sum() == pytest.approx(weights, abs=1e-5) and min(r.rate for r in got) >= lowest
+    assert grow or found.sum() == pytest.approx(sum(r.tokens for r in got), rel=1e-5)
+
+
+def test_shares_out_of_reach_give_the_nearest(spark):
+    rows = spark.createDataFrame([(10, [0.6, 0.4]), (30, [0.3, 0.7])], "tokens long, p array<double>")
+    rate, reached, target = mixing.fit_rates(rows, np.array([0.9, 0.1]))
+    assert np.abs(reached - target).max() > 1
+    rates = [r.rate for r in rows.select("p", rate.alias("rate")).orderBy("tokens").collect()]
+    assert rates[1] == 0 and rates[0] > 1
+    with pytest.raises(RuntimeError):
+        mixing.fit_rates(soft_rows(spark, 1.5, 2), np.array([0.9, 0.1]), 1.0, True, most_steps=2)
+
+
 @pytest.mark.parametrize("work", [
     lambda s, d: exact_dedup.duplicate_groups(d), lambda s, d: minhash.near_duplicates(d),
     lambda s, d: rans.round_trip(d, PATH), lambda s, d: packing.pack(d, PATH), lambda s, d: lines.repeated_units(d),
