@@ -414,6 +414,9 @@ def residual_rows(spark, d):
 
 # --- models ---------------------------------------------------------------------------
 
+SIZE = 100  # trees or rounds where nothing is searched: the middle of ``train.GRIDS``
+
+
 def _training(spark, d, kind):
     build = dataset.classification_set if kind == "classification" else dataset.regression_set
     return build(
@@ -427,35 +430,34 @@ def _fitted(spark, d, model_type, task, **params):
 
 
 def model_rf_cls(spark, d):
-    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=20)
+    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=SIZE)
     return train.predict(model, data, KEYS)
 
 
 def model_rf_reg(spark, d):
-    model, data = _fitted(spark, d, "randomforest", "regression", numTrees=20)
+    model, data = _fitted(spark, d, "randomforest", "regression", numTrees=SIZE)
     return train.predict(model, data, KEYS)
 
 
 def model_gbt_cls(spark, d):
-    model, data = _fitted(spark, d, "xgboost", "classification", maxIter=10)
+    model, data = _fitted(spark, d, "xgboost", "classification", maxIter=SIZE)
     return train.predict(model, data, KEYS)
 
 
 def model_gbt_reg(spark, d):
-    model, data = _fitted(spark, d, "xgboost", "regression", maxIter=10)
+    model, data = _fitted(spark, d, "xgboost", "regression", maxIter=SIZE)
     return train.predict(model, data, KEYS)
 
 
 def importance_topk(spark, d):
-    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=20)
+    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=SIZE)
     return train.feature_importances(model, data)
 
 
 def model_search(spark, d):
-    grid_ = {"numTrees": [10, 20], "maxDepth": [5]}
     model, data = _fitted(
-        spark, d, "randomforest", "classification", folds=2, grid=grid_,
-        fold_by=("location_id",),
+        spark, d, "randomforest", "classification", folds=5,
+        grid=train.GRIDS["randomforest"], fold_by=("location_id",),
     )
     return spark.createDataFrame(
         sorted((k, float(v)) for k, v in {**model.metrics, **model.best_params}.items()
@@ -465,7 +467,7 @@ def model_search(spark, d):
 
 
 def model_overlay(spark, d):
-    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=20)
+    model, data = _fitted(spark, d, "randomforest", "classification", numTrees=SIZE)
     return timeseries_report(model, data, label_spring_jump(spark, d))
 
 

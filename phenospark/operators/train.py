@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import DATE, LOCATION
@@ -103,6 +103,20 @@ def model_input(
     )
 
 
+def with_folds(table: DataFrame, fold_by: Sequence[str], folds: int) -> DataFrame:
+    """``table`` with ``fold``, from a hash of ``fold_by``.
+
+    Where that leaves a fold empty there are few groups; they are dealt in order of their hash.
+    """
+    key = F.xxhash64(*fold_by)
+    out = table.withColumn("fold", F.pmod(key, F.lit(folds)).cast("int"))
+    if out.select("fold").distinct().count() == folds:
+        return out
+    number = F.row_number().over(Window.orderBy("fold_key"))
+    dealt = table.select(key.alias("fold_key")).distinct().withColumn("fold", F.pmod(number, F.lit(folds)).cast("int"))
+    return table.withColumn("fold_key", key).join(dealt, "fold_key").drop("fold_key")
+
+
 def train_model(
     dataset: DataFrame,
     model_type: str = "randomforest",
@@ -141,8 +155,7 @@ def train_model(
             estimator=pipeline, estimatorParamMaps=param_grid(model, grid), evaluator=judge,
             numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED,
         )
-        fold = F.pmod(F.xxhash64(*fold_by), F.lit(folds)).cast("int")
-        found = search.fit(table.withColumn("fold", fold))
+        found = search.fit(with_folds(table, fold_by, folds))
         fitted = found.bestModel
         pick = max if judge.isLargerBetter() else min
         cv_score = pick(found.avgMetrics)

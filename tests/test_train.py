@@ -6,6 +6,7 @@ from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
+from phenospark.catalog import queries as catalog
 from phenospark.operators import train
 from phenospark.plans.evaluation import evaluation_report, timeseries_report
 from phenospark.plans.scoring import prediction_export, score_requests
@@ -148,3 +149,34 @@ def test_requests_are_scored_by_both_kinds_of_model(spark, classifier, regressor
     flat = prediction_export(answers).collect()
     assert len(flat) == 4
     assert {(r["bloom_probability"], r["bloom_predicted"]) for r in flat} == {(0.0, False)}
+
+
+def test_registered_models_are_the_operators_whole_job(monkeypatch):
+    calls = {}
+
+    class Recorded(Exception):
+        pass
+
+    for name in ("model_rf_cls", "model_rf_reg", "model_gbt_cls", "model_gbt_reg", "importance_topk",
+                 "model_overlay", "model_search"):
+        def record(data, model_type, task, name=name, **params):
+            calls[name] = (model_type, params)
+            raise Recorded
+
+        monkeypatch.setattr(train, "train_model", record)
+        monkeypatch.setattr(catalog, "_training", lambda *a: None)
+        monkeypatch.setattr(catalog, "stored", lambda *a: None)
+        with pytest.raises(Recorded):
+            getattr(catalog, name)(None, None)
+    _, search = calls.pop("model_search")
+    assert search["grid"] == train.GRIDS["randomforest"] and search["folds"] == 5
+    for model_type, params in calls.values():
+        sizes = train.GRIDS[model_type]["numTrees" if model_type == "randomforest" else "maxIter"]
+        assert min(sizes) <= params["numTrees" if model_type == "randomforest" else "maxIter"] <= max(sizes)
+
+
+def test_no_fold_is_empty_with_few_groups(spark):
+    df = spark.createDataFrame([(k, i) for k in ("a", "b", "c", "d", "e", None) for i in range(3)], "location_id string, n int")
+    got = train.with_folds(df, ("location_id",), 6).collect()
+    assert len(got) == 18 and {r.fold for r in got} == set(range(6))
+    assert len({(r.location_id, r.fold) for r in got}) == 6
