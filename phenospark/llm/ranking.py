@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytewords import LOWER, byte_slices, bytes_of, row_sums, runs, words_of
+from .bytewords import LOWER, byte_slices, bytes_of, runs, words_of
 from .common import stored, texts
 
 K = 10
@@ -30,6 +30,7 @@ SEGMENT_ROWS = 4096  # and documents
 BLOCK_ITEMS = 512  # queries that one pass over the index answers
 BLOCK_BYTES = 16_000_000
 CELLS = 2_000_000  # scores and bounds held at a time
+SLICE = 3_000_000  # bytes of text, or of an index's terms, that a task works on at a time
 NO_ID = -(1 << 63)  # stands for a null id inside tasks; ranks first among equal scores
 SEGMENT = "m long, docs array<long>, terms binary, groups binary, tfs binary, sizes binary, places binary"
 
@@ -56,10 +57,11 @@ def term_counts(text: Column) -> Column:
 
     @F.arrow_udf("long")
     def count(column: pa.Array) -> pa.Array:
-        data, at = bytes_of(column)
-        starts = np.zeros(len(data), bool)
-        starts[runs(TERM[data], at)[0]] = True
-        return pa.array(row_sums(starts, at))
+        counts = []
+        for some in byte_slices(pa.RecordBatch.from_arrays([column], names=["text"]), size=SLICE):
+            data, at = bytes_of(some.column("text"))
+            counts.append(np.diff(np.searchsorted(runs(TERM[data], at)[0], at)))
+        return pa.array(np.concatenate(counts) if counts else np.zeros(0, "i8"), pa.int64())
 
     # else the optimiser copies the function to each place that reads its result
     return count.asNondeterministic()(F.coalesce(text.cast("string"), F.lit("")))
@@ -105,7 +107,7 @@ def build_index(
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments from rows in order of (m, cut); one that spans slices becomes several."""
     for batch in batches:
-        for some in byte_slices(batch):
+        for some in byte_slices(batch, size=SLICE):
             data, at = bytes_of(some.column("text"))
             words = words_of(LOWER[data], at, TERM[data])
             m, cut = (some.column(c).to_numpy() for c in ("m", "cut"))
@@ -176,7 +178,7 @@ def document_counts(segments: DataFrame, wanted: list[bytes]) -> dict[int, int]:
         names = pa.array(shared.value, pa.binary())
         total = np.zeros(len(names), "i8")
         for batch in batches:
-            for some in byte_slices(batch, "terms"):
+            for some in byte_slices(batch, "terms", SLICE):
                 found = Found(some, names)
                 np.add.at(total, found.term, found.posting_end - found.posting_start)
         seen = np.flatnonzero(total)
@@ -268,7 +270,7 @@ def _answers(segments: DataFrame, count: int, queries: list[Counter], k: int) ->
         wanted, by_term = shared.value
         names, best = pa.array(wanted, pa.binary()), Best(width, k)
         for batch in batches:
-            for some in byte_slices(batch, "terms"):
+            for some in byte_slices(batch, "terms", SLICE):
                 step = max(1, CELLS // max(1, width))
                 for a in range(0, some.num_rows, step):
                     _visit(some.slice(a, step), names, by_term, best)
