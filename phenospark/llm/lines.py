@@ -19,7 +19,7 @@ from .common import map_rows, stored, texts
 LEAST_WORDS = 6
 _SENTENCE = re.compile(r"[^\s].*?(?:[.!?](?=\s)|$)", re.DOTALL)
 _LINE = re.compile(r"[^\n]+")
-UNITS = "doc_id long, start int, end int, high long, low long"
+UNITS = "doc_id long, text_key long, start int, end int, high long, low long"
 
 
 def normalise(unit: str) -> str:
@@ -48,7 +48,7 @@ def units(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS,
     least_line_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """One row per unit: doc_id, start, end, digest halves.
+    """One row per unit: doc_id, hash of the text, start, end, digest halves.
 
     Whole lines count from ``least_line_words`` words on (1: every line that is not blank), sentences
     inside lines from ``least_words`` on.
@@ -56,25 +56,27 @@ def units(
 
     def make():
         def work(columns):
-            for doc_id, text in zip(columns["doc_id"].to_pylist(), columns["text"].to_pylist(), strict=True):
+            for doc_id, key, text in zip(*(columns[c].to_pylist() for c in ("doc_id", "text_key", "text")), strict=True):
                 for a, b, line in marked_spans(text):
                     words = text[a:b].lower().split()
                     if len(words) >= (least_line_words if line else least_words):
                         digest = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
-                        yield doc_id, a, b, int.from_bytes(digest[:8], signed=True), int.from_bytes(
+                        yield doc_id, key, a, b, int.from_bytes(digest[:8], signed=True), int.from_bytes(
                             digest[8:], signed=True
                         )
 
         return work
 
-    return map_rows(texts(df, id_col, text_col), make, UNITS, 20_000)
+    keyed = texts(df, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+    return map_rows(keyed, make, UNITS, 20_000)
 
 
 def repeated_units(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS,
     least_line_words: int = LEAST_WORDS,
 ) -> DataFrame:
-    """One row per unit to remove: doc_id, start, end, keep_doc_id, keep_start, copies.
+    """One row per unit to remove: doc_id, start, end, keep_doc_id, keep_start, copies, and ``text_key``,
+    which tells different texts under one id apart.
 
     The earliest occurrence by (doc_id, start) stays; a null doc_id ranks first.  A null or empty text has
     no units, rows that repeat an id and text repeat its occurrence, of which all but the
@@ -89,7 +91,7 @@ def repeated_units(
     )
     return found.join(several, ["high", "low"]).where(~rank.eqNullSafe(F.col("first"))).select(
         "doc_id", "start", "end", F.col("first.doc_id").alias("keep_doc_id"),
-        F.col("first.start").alias("keep_start"), "copies",
+        F.col("first.start").alias("keep_start"), "copies", "text_key",
     )
 
 
@@ -98,13 +100,15 @@ def remove_units(
 ) -> DataFrame:
     """doc_id, clean text, and the spans of the original that are left.
 
-    Spans may overlap (a line and its sentences); a document with none comes back as it is.
+    Spans may overlap (a line and its sentences); a document with none comes back as it is.  Of several
+    texts under one id each loses its own units only.
     """
-    cut = removed.groupBy("doc_id").agg(
+    cut = removed.groupBy("doc_id", "text_key").agg(
         F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cut")
     )
     body = texts(df, id_col, text_col)
-    joined = body.join(cut.withColumnRenamed("doc_id", "cut_id"), F.col("doc_id").eqNullSafe(F.col("cut_id")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("cut_id")) & (F.xxhash64("text") == F.col("text_key"))
+    joined = body.join(cut.withColumnRenamed("doc_id", "cut_id"), same, "left")
 
     def run(batches):
         for batch in batches:

@@ -27,8 +27,7 @@ BANDS = 32
 ROWS = 5
 CHUNK = 1024  # members, and shingles, of a bucket that one side of a unit may hold
 CHUNK_SHINGLES = 2_000_000
-LEAST_COMMON = 2  # bands; pairs at the threshold that share fewer are as rare as ones that share none
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 120_000  # of at most 32 bytes, some 25 MB a worker
 DRAWS = 256
 
 
@@ -43,7 +42,9 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 32 and len(self) < KNOWN_WORDS:
+            self[word] = value
         return value
 
 
@@ -61,7 +62,7 @@ class Shingles:
         found = text.encode("utf-8", "surrogatepass").lower().split()
         if not found:
             return np.zeros(0, "u8")
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) >= KNOWN_WORDS:
             self.known = _Words()
         h = np.fromiter(map(self.known.__getitem__, found), "u8", len(found))
         size = min(self.size, len(h))
@@ -212,8 +213,8 @@ def near_duplicates(
     id, whose component is null.  Rows that repeat an id are one document; should their
     texts differ, each text's links count.  Equal sets are one node, so copies cost nothing.
     With the default bands a pair exactly at 80 % has no bucket in common once in 300,000
-    times, and less than the ``LEAST_COMMON`` asked for after the stars once in 20,000;
-    lower thresholds need fewer ``rows`` or more ``bands``.
+    times; every pair that has one is compared or joined through others.  Lower thresholds
+    need fewer ``rows`` or more ``bands``.
     """
     docs = texts(df, id_col, text_col)
     sketch = stored(sketches(docs, words, bands, rows), "sketches")
@@ -383,7 +384,7 @@ def compare_unit(rows: list, percent: int, key: tuple | None) -> list[tuple[int,
         if len(others):
             common = bands[others] == bands[i]
             own = np.where(common, bands[i], np.iinfo("i8").max).min(axis=1) == key[0]
-            others = others[own & (common.sum(axis=1) >= LEAST_COMMON)]
+            others = others[own]
         if not len(others):
             continue
         marks[codes[starts[i]:ends[i]]] = True
@@ -425,10 +426,10 @@ def _with_components(sketch: DataFrame, by_set: DataFrame) -> DataFrame:
 def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df``, with their columns as they are, of documents that are kept: the
     smallest id of each component, and rows without an id or words."""
-    gone = near_duplicates(df, id_col, text_col, **options).where(~F.col("kept")).select(
-        F.col("doc_id").alias("gone_id")
-    ).distinct()
-    body = df.alias("body")
-    return body.join(
-        stored(gone, "gone"), F.col(f"body.`{id_col}`").cast("long") == F.col("gone_id"), "left_anti"
+    gone = near_duplicates(df, id_col, text_col, **options).where(~F.col("kept")).select("doc_id").distinct()
+    body = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).withColumn(
+        "doc_id", F.col(f"row.`{id_col}`").cast("long")
+    )
+    return body.join(stored(gone, "gone"), "doc_id", "left_anti").select(
+        *[F.col(f"row.`{c}`").alias(c) for c in df.columns]
     )

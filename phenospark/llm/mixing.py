@@ -26,6 +26,7 @@ from .textmodel import (
     Rows,
     fit_softmax,
     labelled_sample,
+    numbered,
     on_sample,
     softmax,
     telling_words,
@@ -57,12 +58,11 @@ def posteriors(
     words = telling_words(sample, "domain", names, features)
 
     def fit(columns):
-        look = Features(words)
         target = np.array([[d == n for n in names] for d in columns["domain"]], float)
-        rows_ = [look(t) for t in columns["text"]]
+        rows_ = columns["numbers"]
         return fit_softmax(Rows(rows_, len(words) + 1, np.zeros((len(rows_), 0))), target)
 
-    flat = on_sample(sample, fit)
+    flat = on_sample(numbered(sample, words), fit)
     weights = flat.reshape(-1, len(names)) if len(flat) else np.zeros((len(words) + 1, len(names)))
     model = docs.sparkSession.sparkContext.broadcast((words, weights))  # bounded by the features
     others = [c for c in docs.columns if c != "text"]
@@ -203,16 +203,13 @@ def repeat_documents(
     rows, rate, _ = _fitted(texts(df, id_col, text_col).withColumn(
         "text_key", F.xxhash64("text")
     ), domains, weights, lowest, grow, options)
-    counts = rows.select(
-        F.col("doc_id").alias("mix_id"), F.col("text_key").alias("mix_key"), copies(rate, F.col("doc_id")).alias("mix_copies")
-    ).where("mix_copies <> 1").distinct()
-    key = F.xxhash64(F.coalesce(F.col(f"body.`{text_col}`").cast("string"), F.lit("")))
-    joined = df.alias("body").join(
-        stored(counts, "copies"),
-        F.col(f"body.`{id_col}`").cast("long").eqNullSafe(F.col("mix_id")) & (key == F.col("mix_key")), "left",
+    times = copies(rate, F.col("doc_id")).alias("times")
+    counts = stored(rows.select("doc_id", "text_key", times).where("times <> 1").distinct(), "copies")
+    body = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).select(
+        "row", F.col(f"row.`{id_col}`").cast("long").alias("id"),
+        F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))).alias("key"),
     )
-    times = F.coalesce("mix_copies", F.lit(1).cast("long"))
-    return joined.where(times > 0).select(
-        *[F.col(f"body.`{c}`").alias(c) for c in df.columns],
-        F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("mix_copy"),
-    ).drop("mix_copy")
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    found = body.join(counts, same, "left").withColumn("times", F.coalesce("times", F.lit(1).cast("long")))
+    again = found.where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    return again.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])

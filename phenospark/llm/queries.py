@@ -56,9 +56,10 @@ def op6_secret_spans(spark: SparkSession, d: str) -> DataFrame:
             ":", F.get(names, s["kinds"]), s["starts"].cast("string"), s["ends"].cast("string")
         )), ",")
 
-    counts = [
-        F.size(F.filter("kinds", lambda k, n=n: k == n)).cast("long").alias(f"n_{secrets.KINDS[n]}") for n in range(3)
-    ]
+    def count(kind):
+        return F.size(F.filter("kinds", lambda k: k == kind)).cast("long").alias(f"n_{secrets.KINDS[kind]}")
+
+    counts = [count(kind) for kind in range(3)]
     base = joined(F.filter(span, lambda s: s["kinds"] < 3))
     return found.select(
         "doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), joined(span).alias("spans")
@@ -72,7 +73,7 @@ def op7_concatenate_and_cut(spark: SparkSession, d: str) -> DataFrame:
 def op8_warc_capture_index(spark: SparkSession, d: str) -> DataFrame:
     pages = read_table(spark, d, "pages")
     _, shards = warc.write_pages(pages)
-    return warc.look_up(pages, shards).select(
+    return warc.look_up(pages, shards, null_is_any=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

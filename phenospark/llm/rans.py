@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import shared_folder, stored
 from .store import Ranges, new_file, running_totals
-from .tokens import END_ID, encode_documents
+from .tokens import END_ID, encode_documents, narrowest
 
 MAGIC = b"RANSIDS1"
 BITS = 18
@@ -34,6 +34,7 @@ TAIL = struct.Struct("<8sQQQII")  # magic, directory offset, blocks, documents,
 BLOCKS = np.dtype([("offset", "<u8"), ("bytes", "<u4"), ("ids", "<u4"), ("crc", "<u4"), ("raw_crc", "<u4")])
 DOCUMENTS = np.dtype([("doc_id", "<i8"), ("known", "u1"), ("ids", "<u8")])
 WORK_IDS = 1 << 20  # ids that one unit of decoding covers
+FILE_IDS = 1 << 22  # ids of a file, about; a unit reads its file's directory, so that stays small
 
 
 class Table:
@@ -112,14 +113,15 @@ class Table:
         return self.ids[result.reshape(blocks, rows * lanes)[:, :n]]
 
 
-def count_ids(encoded: DataFrame) -> Table:
-    """The frequency table over all documents; as many rows as ids occur reach the driver."""
+def count_ids(encoded: DataFrame, kind: str = "<u4") -> tuple[Table, int]:
+    """The frequency table over all documents, and how many ids they have; as many rows as different
+    ids occur reach the driver."""
 
     def run(batches):
         total = np.zeros(0, "i8")
         for batch in batches:
             for piece in batch.column("ids").to_pylist():
-                part = np.bincount(np.frombuffer(piece, "<u4"))
+                part = np.bincount(np.frombuffer(piece, kind))
                 if len(part) > len(total):
                     total = np.concatenate([total, np.zeros(len(part) - len(total), "i8")])
                 total[:len(part)] += part
@@ -129,16 +131,17 @@ def count_ids(encoded: DataFrame) -> Table:
     rows = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(
         F.sum("n").alias("n")
     ).collect()
-    return Table(np.array([r["id"] for r in rows], "u4"), np.array([r["n"] for r in rows], "f8"))
+    table = Table(np.array([r["id"] for r in rows], "u4"), np.array([r["n"] for r in rows], "f8"))
+    return table, sum(r["n"] for r in rows)
 
 
 class Writer:
     """One file: takes documents in order, writes blocks as they fill."""
 
-    def __init__(self, out, table: Table, block: int = BLOCK) -> None:
-        self.out, self.table, self.block = out, table, block
+    def __init__(self, out, table: Table, block: int = BLOCK, kind: str = "<u4") -> None:
+        self.out, self.table, self.block, self.kind = out, table, block, kind
         self.at, self.held, self.waiting = 0, [], 0
-        self.blocks, self.documents = [], []
+        self.blocks, self.documents, self.full = [], [], []
         self._put(MAGIC)
 
     def _put(self, data: bytes) -> None:
@@ -152,14 +155,18 @@ class Writer:
             self._put(data)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.documents.append((doc_id or 0, doc_id is not None, len(ids) // 4))
+        n = len(ids) // np.dtype(self.kind).itemsize
+        self.documents.append((doc_id or 0, doc_id is not None, n))
+        if len(self.documents) == 4096:  # 17 bytes a document, not a tuple
+            self.full.append(np.array(self.documents, DOCUMENTS))
+            self.documents = []
         self.held.append(ids)
-        self.waiting += len(ids) // 4
+        self.waiting += n
         if self.waiting >= GROUP * self.block:
             self._flush()
 
     def _flush(self) -> None:
-        ids = np.frombuffer(b"".join(self.held), "<u4")
+        ids = np.frombuffer(b"".join(self.held), self.kind)
         whole = len(ids) // self.block * self.block
         for k in range(0, whole, GROUP * self.block):
             self._code(ids[k:min(whole, k + GROUP * self.block)].reshape(-1, self.block))
@@ -168,21 +175,25 @@ class Writer:
     def close(self) -> int:
         self._flush()
         if self.waiting:
-            self._code(np.frombuffer(self.held[0], "<u4")[None])
+            self._code(np.frombuffer(self.held[0], self.kind)[None])
         blocks = np.array(self.blocks, BLOCKS).tobytes()
-        documents = np.array(self.documents, DOCUMENTS).tobytes()
-        start = self.at
+        listed = np.concatenate([*self.full, np.array(self.documents, DOCUMENTS)])
+        documents, start = listed.tobytes(), self.at
         self._put(blocks + documents)
         self._put(TAIL.pack(
-            MAGIC, start, len(self.blocks), len(self.documents),
-            zlib.crc32(blocks + documents), self.table.crc(),
+            MAGIC, start, len(self.blocks), len(listed), zlib.crc32(blocks + documents), self.table.crc(),
         ))
-        return sum(d[2] for d in self.documents)
+        return int(listed["ids"].sum())
 
 
-def write_files(encoded: DataFrame, table: Table, folder: str) -> DataFrame:
+def write_files(
+    encoded: DataFrame, table: Table, folder: str, total: int, kind: str = "<u4", file_ids: int = FILE_IDS,
+) -> DataFrame:
     """Write encoded documents in ascending doc_id order (null first; rows that repeat an id
-    in the order they were encoded) and return the stored manifest: shard, file, n_ids."""
+    in the order they were encoded) and return the stored manifest: shard, file, n_ids.
+
+    ``total`` ids make as many files as hold about ``file_ids`` each.
+    """
     spark = encoded.sparkSession
     shared = spark.sparkContext.broadcast(table)  # bounded by the vocabulary
     order = ["doc_id", "part", "start"]
@@ -194,7 +205,7 @@ def write_files(encoded: DataFrame, table: Table, folder: str) -> DataFrame:
         if first is None:
             return
         with new_file(folder, f"ids-{shard:06d}") as (out, address):
-            writer = Writer(out, shared.value)
+            writer = Writer(out, shared.value, kind=kind)
             for batch in (b for some in ([first], batches) for b in some):
                 for doc_id, ids in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids")), strict=True):
                     writer.add(doc_id, ids)
@@ -204,7 +215,7 @@ def write_files(encoded: DataFrame, table: Table, folder: str) -> DataFrame:
             names=["shard", "file", "n_ids"],
         )
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, -(-total // file_ids))
     ordered = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     manifest = ordered.select("doc_id", "ids").mapInArrow(run, "shard int, file string, n_ids long")
     return stored(manifest, "rans-files")
@@ -301,7 +312,8 @@ def round_trip(
     A null text is the empty one, whose only id is the end id; rows that repeat an id, and
     rows without one, are documents of their own.  An empty table writes no file.
     """
-    encoded = encode_documents(df, tokenizer, id_col, text_col, end_id)
-    table = count_ids(encoded)
-    manifest = write_files(encoded, table, shared_folder(df.sparkSession, "rans"))
+    kind = narrowest(tokenizer)
+    encoded = encode_documents(df, tokenizer, id_col, text_col, end_id, kind)
+    table, total = count_ids(encoded, kind)
+    manifest = write_files(encoded, table, shared_folder(df.sparkSession, "rans"), total, kind)
     return read_files(manifest, table)

@@ -7,9 +7,11 @@ keyboard or along the alphabet, or single characters tried out.
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
@@ -83,58 +85,120 @@ def word_cost(part: str, words: dict[str, int]) -> float | None:
     return cost
 
 
-def walk_ends(value: str) -> list[tuple[int, float]]:
-    """For each start, how far a walk on keys or a run along character codes goes, and its cost."""
-    close, lowered, out = neighbours(), value.lower(), []
-    for i in range(len(value)):
-        j, turns, last = i + 1, 1, ""
-        while j < len(value) and lowered[j] in close.get(lowered[j - 1], ""):
-            step = str(close[lowered[j - 1]].index(lowered[j]))
-            turns, last = turns + (step != last), step
-            j += 1
-        k, step = i + 1, 0
-        while k < len(value) and abs(d := ord(value[k]) - ord(value[k - 1])) == 1 and step in (0, d):
-            k, step = k + 1, d
-        keys = math.log10(47 * (j - i)) + turns * math.log10(4)
-        run = math.log10(36 * 2 * (k - i))
-        out.append((k, run) if k >= j else (j, keys))
-    return out
-
-
-def guess_cost(value: str, words: dict[str, int]) -> float:
-    """Power of ten of the guesses that the cheapest segmentation of the value needs."""
-    n = len(value)
-    best = [0.0] + [math.inf] * n
-    tried = [True] + [False] * n  # whether the best way to here ends in tried characters
-    walks = walk_ends(value)
+class Walks:
+    """Where walks on keys and runs along character codes end that begin at a given place.
 
-    def offer(at: int, cost: float, plain: bool) -> None:
-        if cost < best[at]:
-            best[at], tried[at] = cost, plain
+    Each stretch of a value is walked once, whoever asks for a place inside it.
+    """
 
-    for i in range(n):
-        here = best[i]
+    def __init__(self, value: str) -> None:
+        self.value, self.lowered, self.close = value, value.lower(), neighbours()
+        self.same_length = len(self.lowered) == len(value)
+        self.keys = (0, 0, [0])  # begin, end and the turns up to each place of the last stretch
+        self.run = (0, 0)
+
+    def on_keys(self, i: int) -> tuple[int, float]:
+        begin, end, turns = self.keys
+        if not begin <= i < end:
+            j, last, turns, lowered = i + 1, "", [0], self.lowered
+            while j < len(self.value) and self.same_length and lowered[j] in self.close.get(lowered[j - 1], ""):
+                step = self.close[lowered[j - 1]].index(lowered[j])
+                turns.append(turns[-1] + (step != last))
+                j, last = j + 1, step
+            begin, end = i, j
+            self.keys = begin, end, turns
+        # the first step of a walk is a turn of its own
+        return end, turns[-1] - turns[min(i - begin + 1, len(turns) - 1)] + 2 if end > i + 1 else 1
+
+    def on_codes(self, i: int) -> int:
+        begin, end = self.run
+        if not begin <= i < end - 1:
+            k, step, value = i + 1, 0, self.value
+            while k < len(value) and abs(d := ord(value[k]) - ord(value[k - 1])) == 1 and step in (0, d):
+                k, step = k + 1, d
+            self.run = i, k
+        return self.run[1]
+
+    def segments(self, i: int) -> Iterator[tuple[int, float]]:
+        """Ends and costs: every end up to ``MOST_WORD`` characters on, and the farthest."""
+        for end, turns in (self.on_keys(i), (self.on_codes(i), 0)):
+            for j in {*range(i + 3, min(end, i + MOST_WORD) + 1), *([end] if end >= i + 3 else ())}:
+                yield j, math.log10(47 * (j - i)) + turns * math.log10(4) if turns else math.log10(72 * (j - i))
+
+
+def repeat_end(value: str, i: int, unit: int) -> int:
+    """Where the repetition of the ``unit`` characters from ``i`` on ends; whole repeats only."""
+    j, step = i + unit, unit
+    part = value[i:j]
+    while value.startswith(part, j):  # in doubling steps, then back in halving ones
+        j += step
+        part += part if len(part) == step else ""
+        step = len(part)
+    while step > unit:
+        step //= 2
+        if value.startswith(part[:step], j):
+            j += step
+    return j
+
+
+def segments(value: str, i: int, words: dict[str, int], walks: Walks) -> Iterator[tuple[int, float]]:
+    """Ends and costs of the segments from ``i`` on, single characters aside.
+
+    Words and dates; walks, runs and repeats of up to ``MOST_WORD`` characters and as far as they go.
+    """
+    n = len(value)
+    for j in range(i + LEAST_WORD, min(n, i + MOST_WORD) + 1):
+        cost = word_cost(value[i:j], words)
+        if cost is not None:
+            yield j, cost
+    if match := _DATE.match(value, i):
+        yield match.end(), math.log10(120 if match.end() - i == 4 else 365 * 120)
+    yield from walks.segments(i)
+    for unit in range(1, min(16, (n - i) // 2) + 1):
+        part = value[i:i + unit]
+        if not value.startswith(part, i + unit):
+            continue
+        cost = sum(map(single, part))
+        known = word_cost(part, words) if unit >= LEAST_WORD else None
+        cost = min(cost, known) if known is not None else cost
+        end = repeat_end(value, i, unit)
+        for j in {*range(i + 2 * unit, min(end, i + MOST_WORD) + 1, unit), end}:
+            yield j, cost + math.log10((j - i) // unit)
+
+
+def guess_cost(value: str, words: dict[str, int], limit: float = math.inf) -> float:
+    """Power of ten of the guesses that the cheapest segmentation of the value needs.
+
+    Exact below ``limit``; from there on, some number not below it.  No segment costs less than
+    nothing, so places that are only reached at ``limit`` or more are not looked at
+    again, and a very long value ends after the few places that are reached below it.
+    """
+    n = len(value)
+    if not n:
+        return 0.0
+    best: dict[int, list[float]] = {0: [math.inf, 0.0]}  # place: after tried characters, after a segment
+    waiting, walks = [0], Walks(value)
+
+    def offer(at: int, cost: float, tried: bool) -> None:
+        if cost >= limit:
+            return
+        if at not in best:
+            best[at] = [math.inf, math.inf]
+            heapq.heappush(waiting, at)
+        best[at][not tried] = min(best[at][not tried], cost)
+
+    while waiting:
+        i = heapq.heappop(waiting)
+        tried, other = best.pop(i)
+        if i == n:
+            return min(tried, other)
         switch = SWITCH if i else 0.0
-        offer(i + 1, here + single(value[i]) + (0.0 if tried[i] else switch), True)
-        for j in range(i + LEAST_WORD, min(n, i + MOST_WORD) + 1):
-            cost = word_cost(value[i:j], words)
-            if cost is not None:
-                offer(j, here + switch + cost, False)
-        if match := _DATE.match(value, i):
-            years = math.log10(120 if match.end() - i == 4 else 365 * 120)
-            offer(match.end(), here + switch + years, False)
-        end, cost = walks[i]
-        for j in range(i + 3, end + 1):
-            offer(j, here + switch + cost, False)
-        for unit in range(1, min(16, (n - i) // 2) + 1):
-            part, j = value[i:i + unit], i + unit
-            cost = sum(map(single, part))
-            known = word_cost(part, words) if unit >= LEAST_WORD else None
-            cost = min(cost, known) if known is not None else cost
-            while value.startswith(part, j):
-                j += unit
-                offer(j, here + switch + cost + math.log10((j - i) // unit), False)
-    return best[n]
+        offer(i + 1, min(tried, other + switch) + single(value[i]), True)
+        here = min(tried, other) + switch
+        if here < limit:
+            for j, cost in segments(value, i, words, walks):
+                offer(j, here + cost, False)
+    return limit
 
 
 def find(text: str, words: dict[str, int], least_cost: float = LEAST_COST) -> list[tuple[int, int, int]]:
@@ -150,7 +214,7 @@ def find(text: str, words: dict[str, int], least_cost: float = LEAST_COST) -> li
         ]
         found += [
             (m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text)
-            if guess_cost(m[1], words) >= least_cost
+            if guess_cost(m[1], words, least_cost) >= least_cost
         ]
     if "AKIA" in text:
         found += [

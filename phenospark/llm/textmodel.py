@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from .common import stored
 
@@ -29,10 +30,11 @@ def word_features(word: str) -> tuple[str, ...]:
 class Features:
     """Which of the known features the distinct words of a text have, by number from 1 on.
 
-    Number 0 is in every text.  What a word gives is remembered, in a memory of fixed size.
+    Number 0 is in every text.  What a word gives is remembered for up to ``remember`` words of at
+    most 32 characters, some 20 MB.
     """
 
-    def __init__(self, names: Sequence[str], remember: int = 1_000_000) -> None:
+    def __init__(self, names: Sequence[str], remember: int = 80_000) -> None:
         self.numbers = {n: k for k, n in enumerate(names, 1)}
         self.known: dict[str, tuple[int, ...]] = {}
         self.remember = remember
@@ -44,9 +46,9 @@ class Features:
         for word in set(_WORD.findall(text.lower())):
             numbers = known.get(word)
             if numbers is None:
-                numbers = known[word] = tuple(
-                    self.numbers[f] for f in word_features(word) if f in self.numbers
-                )
+                numbers = tuple(self.numbers[f] for f in word_features(word) if f in self.numbers)
+                if len(word) <= 32:
+                    known[word] = numbers
             if numbers:
                 found.update(numbers)
         return sorted(found)
@@ -59,17 +61,18 @@ def labelled_sample(
     ``rows`` labelled documents, by hash of the id.
 
     Label rows with a null in the id or in ``columns`` are left out; of several for one id
-    the smallest counts.  The sample of ids and labels is bounded, so it is broadcast.
+    the smallest counts, and of several texts under one id the least.  The sample of ids and labels is bounded, so it is broadcast.
     """
     known = labels.dropna(subset=["doc_id", *columns]).groupBy(
         F.col("doc_id").cast("long").alias("labelled_id")
     ).agg(F.min(F.struct(*columns)).alias("label"))
     chosen = known.orderBy(F.xxhash64("labelled_id"), "labelled_id").limit(rows)
     found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
-    return found.select(
+    one = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
+    return one.select(
         "doc_id", "text", *[F.col(f"label.{c}").alias(c) for c in columns],
         F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold"),
-    ).dropDuplicates(["doc_id"])
+    )
 
 
 def telling_words(sample: DataFrame, label: str, classes: Sequence, features: int = FEATURES) -> list[str]:
@@ -178,6 +181,22 @@ def fit_softmax(rows: Rows, target: np.ndarray, penalty: float = PENALTY, steps:
     return w
 
 
+def numbered(sample: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``sample`` with the numbers of its features instead of the text: at most one a known feature."""
+    others = [c for c in sample.columns if c != "text"]
+
+    def run(batches):
+        look = Features(names)
+        for batch in batches:
+            found = [look(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in others], pa.array(found, pa.list_(pa.int32()))], names=[*others, "numbers"]
+            )
+
+    schema = sample.select(*others).schema.add("numbers", ArrayType(IntegerType()))
+    return sample.mapInArrow(run, schema)
+
+
 def on_sample(sample: DataFrame, work: Callable[[dict], np.ndarray]) -> np.ndarray:
     """Run ``work`` on the columns of the bounded sample in one task; the numbers it returns."""
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,8 +16,10 @@ from pyspark.sql import DataFrame
 from .common import stored, texts
 
 END_ID = 2
-CACHE_WORDS = 1_000_000
-BATCH_CHARS = 8_000_000
+CACHE_BYTES = 32_000_000  # what a worker keeps of known words, by a generous estimate a word
+LONGEST_KEPT = 32  # characters; longer words are encoded anew each time
+ENTRY_BYTES = 260  # of two objects and their place in a dictionary
+BATCH_CHARS = 4_000_000
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
@@ -28,10 +31,11 @@ class WordEncoder:
     a word met before need not be encoded again.  Texts in Latin-1 are lower-cased first,
     which the normaliser would do anyway; letters and the ASCII marks after them (no
     apostrophe) are two of its pieces and are looked up on their own.  Any other word goes
-    through the tokenizer as it is.  The memory for known words has a fixed size.
+    through the tokenizer as it is.  Known words are forgotten when they fill
+    ``cache_bytes``; long words are never kept.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS) -> None:
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
@@ -40,32 +44,44 @@ class WordEncoder:
             vocabulary = json.load(file)["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache_words = cache_words
+        self.cache_bytes = cache_bytes
         self._forget()
 
     def _forget(self) -> None:
         self.words: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {"": b""}
+        self.held = 0
+
+    def _keep(self, memory: str, found: dict[str, bytes]) -> None:
+        short = {w: ids for w, ids in found.items() if len(w) <= LONGEST_KEPT}
+        self.held += ENTRY_BYTES * len(short)
+        if self.held > self.cache_bytes:
+            self._forget()
+        else:
+            getattr(self, memory).update(short)
 
     def plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn_pieces(self, new: list[str]) -> None:
+    def _learn_pieces(self, new: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
         for k in range(0, len(new), 5000):
             part = new[k:k + 5000]
             encoded = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(encoded[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
             if len(cuts) != len(part):  # one of them is not a single piece
-                self.pieces.update((p, self.plain(p)) for p in part)
+                found.update((p, self.plain(p)) for p in part)
                 continue
             data, begin = ids.tobytes(), 0
             for piece, end in zip(part, (4 * cuts).tolist(), strict=True):
-                self.pieces[piece] = data[begin:end]
+                found[piece] = data[begin:end]
                 begin = end
+        return found
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
         parted, odd, pieces = [], [], set()
         for word in new:
             letters = word.rstrip(MARKS)
@@ -76,20 +92,20 @@ class WordEncoder:
                 pieces.add(marks)
             else:
                 odd.append(word)
-        self._learn_pieces(list(pieces.difference(self.pieces)))
-        known = self.pieces
+        learnt = self._learn_pieces(list(pieces.difference(self.pieces)))
+        known = ChainMap(learnt, self.pieces)
         for word, letters, marks in parted:
-            self.words[word] = known[letters] + known[marks] if marks else known[letters]
+            found[word] = known[letters] + known[marks] if marks else known[letters]
         for k in range(0, len(odd), 2000):
             part = odd[k:k + 2000]
             done = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, one in zip(part, done, strict=True):
-                self.words[word] = np.array(one.ids, "<u4").tobytes()
+                found[word] = np.array(one.ids, "<u4").tobytes()
+        self._keep("pieces", learnt)
+        return found
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
-        if len(self.words) > self.cache_words:
-            self._forget()
         spaced = []
         for text in batch:
             try:
@@ -101,8 +117,9 @@ class WordEncoder:
         split = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        self._learn([w for w in distinct if w not in self.words])
-        known = [self.words[w] for w in distinct]
+        new = self._learn([w for w in distinct if w not in self.words])
+        known = [self.words[w] if w in self.words else new[w] for w in distinct]
+        self._keep("words", new)
         sizes = np.fromiter(map(len, known), "i8", len(known)) // 4
         pool, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
         codes = coded.indices.to_numpy()
@@ -133,18 +150,26 @@ def char_slices(batch: pa.RecordBatch, chars: int = BATCH_CHARS) -> Iterator[pa.
 SCHEMA = "part int, start long, doc_id long, n_tokens long, ids binary"
 
 
+def narrowest(path: str) -> str:
+    """The numpy kind of the fewest bytes that holds every id of a tokenizer file."""
+    with open(path, encoding="utf-8") as file:
+        known = json.load(file)
+    ids = [*known["model"]["vocab"].values(), *(t["id"] for t in known.get("added_tokens") or ()), END_ID]
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
+
+
 def encode_documents(
     df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int = END_ID,
+    end_id: int = END_ID, kind: str = "<u4",
 ) -> DataFrame:
     """The ids of each document and the end id, stored in the shared folder.
 
     One row per row of ``df``: ``part`` is the task that wrote it, ``start`` the ids of the
-    documents before it in that task, ``ids`` little-endian unsigned 32-bit.  A null text is
+    documents before it in that task, ``ids`` little-endian unsigned numbers of ``kind``.  A null text is
     the empty one and gives the end id alone; null and repeated ids stay as they are.  No
     shuffle.  ``tokenizer`` is a file that every executor has.
     """
-    end = np.array([end_id], "<u4").tobytes()
+    end, width = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
 
     def run(batches):
         from pyspark import TaskContext
@@ -153,7 +178,7 @@ def encode_documents(
         for batch in batches:
             for some in char_slices(batch):
                 values, sizes = encoder.encode(some.column("text").to_pylist())
-                data, ends = values.tobytes(), (4 * np.cumsum(sizes)).tolist()
+                data, ends = values.astype(kind).tobytes(), (width * np.cumsum(sizes)).tolist()
                 ids = [data[a:b] + end for a, b in zip([0, *ends], ends, strict=False)]
                 sizes = sizes + 1
                 starts = start + np.cumsum(sizes) - sizes

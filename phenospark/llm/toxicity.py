@@ -8,13 +8,14 @@ same out-of-fold predictions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .common import stored, texts
 from .textmodel import (
@@ -25,6 +26,7 @@ from .textmodel import (
     Rows,
     fit_softmax,
     labelled_sample,
+    numbered,
     on_sample,
     softmax,
     telling_words,
@@ -63,8 +65,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def fit_columns(columns: dict, words: Sequence[str], categories: Sequence[str], folds: int = FOLDS) -> np.ndarray:
     """Weights and threshold of each category, flattened, from the columns of the sample."""
-    look = Features(words)
-    numbers = [look(t) for t in columns["text"]]
+    numbers = columns["numbers"]
     fold = np.array(columns["fold"]) % folds
     width, out = len(words) + 1, []
     earlier = np.zeros((len(numbers), 0))
@@ -97,7 +98,7 @@ def fit_chain(
     categories = tuple(categories)
     sample = stored(labelled_sample(docs, labels, categories, rows), "labelled")
     words = sorted({w for c in categories for w in telling_words(sample, c, (0, 1), features)})
-    flat = on_sample(sample, lambda columns: fit_columns(columns, words, categories))
+    flat = on_sample(numbered(sample, words), lambda columns: fit_columns(columns, words, categories))
     chain = Chain(categories, words, [], [])
     for k in range(len(categories)):
         size = 2 * (len(words) + 1 + k)
@@ -119,26 +120,20 @@ def quality_labels(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
-def _scored(df: DataFrame, chain: Chain, text: str) -> DataFrame:
-    """Other columns of ``df`` and p_<category> instead of ``text``."""
-    names = [f"p_{c}" for c in chain.categories]
-    model = df.sparkSession.sparkContext.broadcast(chain)  # bounded by the features
-    others = [c for c in df.columns if c != text]
+def probabilities(text: Column, chain: Chain) -> Column:
+    """An array of the probabilities of the chain's categories.  Only texts leave the JVM."""
+    shared = SparkSession.active().sparkContext.broadcast(chain)  # bounded by the features
 
-    def run(batches):
-        known = model.value
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = shared.value
         look = Features(known.words)
-        for batch in batches:
-            found = [known.probabilities(look(t)) for t in batch.column(text).to_pylist()]
-            values = [pa.array(c, pa.float64()) for c in zip(*found, strict=True)] or [
-                pa.array([], pa.float64()) for _ in names
-            ]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *values], names=[*others, *names])
+        for column in batches:
+            found = [known.probabilities(look(t.as_py())) for t in column]
+            yield pa.array(found, pa.list_(pa.float64()))
 
-    schema = df.select(*[F.col(f"`{c}`") for c in others]).schema
-    for n in names:
-        schema = schema.add(n, "double")
-    return df.mapInArrow(run, schema)
+    # else the optimiser copies the function to each place that reads its result
+    return score.asNondeterministic()(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def score_documents(
@@ -154,7 +149,10 @@ def score_documents(
     docs = texts(df, id_col, text_col)
     chain = fit_chain(docs, labels, categories, **options)
     limit = chain.thresholds[chain.categories.index(rejects)]
-    return _scored(docs, chain, "text").withColumn("toxic", F.col(f"p_{rejects}") >= limit)
+    scored = docs.select("doc_id", probabilities(F.col("text"), chain).alias("p"))
+    return scored.select(
+        "doc_id", *[F.col("p")[k].alias(f"p_{c}") for k, c in enumerate(chain.categories)]
+    ).withColumn("toxic", F.col(f"p_{rejects}") >= limit)
 
 
 def drop_toxic(
@@ -163,11 +161,9 @@ def drop_toxic(
 ) -> DataFrame:
     """The rows of ``df``, with their columns as they are, that are not rejected."""
     chain = fit_chain(texts(df, id_col, text_col), labels, categories, **options)
-    limit = chain.thresholds[chain.categories.index(rejects)]
-    whole = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("whole"),
-    )
-    return _scored(whole, chain, "whole").where(F.col(f"p_{rejects}") < limit).select(
+    place = chain.categories.index(rejects)
+    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    scored = row.withColumn("p", probabilities(F.col(f"row.`{text_col}`"), chain))
+    return scored.where(F.col("p")[place] < chain.thresholds[place]).select(
         *[F.col(f"row.`{c}`").alias(c) for c in df.columns]
     )

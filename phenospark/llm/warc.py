@@ -268,12 +268,12 @@ class Index:
             yield parse_record(zlib.decompress(self.files.read(address, offset, length), 31))
 
 
-def look_up(wanted: DataFrame, shards: DataFrame) -> DataFrame:
+def look_up(wanted: DataFrame, shards: DataFrame, null_is_any: bool = True) -> DataFrame:
     """The records of the captures of each row of ``wanted``: url and page_id.
 
     Rows are made distinct by (key, page_id) and sorted, so neighbours read the same blocks;
     every row finds its records through the index.  With a null page_id all captures of the
-    URL come back.  The list of shards, one row per index file, is sent to the tasks.
+    URL come back, or, with ``null_is_any=False``, those that have none themselves.  The list of shards, one row per index file, is sent to the tasks.
     """
     spark = wanted.sparkSession
     # a file per partition of the sort: as many rows as there are index files
@@ -289,7 +289,7 @@ def look_up(wanted: DataFrame, shards: DataFrame) -> DataFrame:
         def work(columns):
             for key, page in zip(columns["key"].to_pylist(), columns["page_id"].to_pylist(), strict=True):
                 low = (key, _rank(page))
-                high = low if page is not None else (key, (True, 1 << 63))
+                high = low if page is not None or not null_is_any else (key, (True, 1 << 63))
                 yield from index.records(low, high)
 
         return work

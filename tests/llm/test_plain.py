@@ -21,7 +21,7 @@ def test_encoder_equals_the_tokenizer_on_whole_texts():
     rnd, alphabet = random.Random(1), "aB'sé́ \n\t.,<|>9Σ ß\x1c日ªÅ̊K"
     texts = ["", " lead", "don't I'LL", "<|endoftext|>x", "İ ΣΑΣ ς", "a\x0bb\x85c", "word " * 3000]
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 40))) for _ in range(800)]
-    encoder = WordEncoder(PATH, cache_words=50)
+    encoder = WordEncoder(PATH, cache_bytes=50_000)
     for _ in range(2):
         ids, sizes = encoder.encode(texts)
         ends = np.cumsum(sizes)
