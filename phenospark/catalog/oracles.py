@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from ..schema import PHENOLOGY_BANDS
+from ..operators.dataset import NOT_FEATURES
 
 PI = "3.141592653589793"
 TIES = "l_orderkey, l_linenumber, l_partkey"
@@ -809,4 +810,15 @@ FROM obs GROUP BY 1, 2""",
         "stream_features_latest": out(
             _trailing(), "wide", BASE, ("value", *rolling_names(), *lag_names())),
     }
+    inputs = [c for c in (*feature_plain, *feature_doubles) if c not in NOT_FEATURES]
+    cells = f"""feats_long AS (
+  UNPIVOT (SELECT date, {', '.join(f'floor(CAST({c} AS DOUBLE) * 100000.0::DOUBLE) / 100000.0::DOUBLE AS {c}' for c in inputs)} FROM whole)
+  ON {', '.join(inputs)} INTO NAME feature VALUE value)"""
+    sql["model_medians"] = f"""WITH whole AS ({sql['all_features']}), {cells}
+SELECT feature, count(*) AS n, round(median(value), 6) + 0.0 AS median FROM feats_long GROUP BY 1"""
+    sql["fold_statistics"] = f"""WITH whole AS ({sql['all_features']}), {cells},
+folds AS (SELECT DISTINCT CAST(year(date) % 5 AS INTEGER) AS without FROM whole)
+SELECT feature, without, count(*) AS n, round(avg(value), 6) + 0.0 AS mean,
+       round(stddev_samp(value), 6) + 0.0 AS deviation, round(median(value), 6) + 0.0 AS median
+FROM feats_long, folds WHERE year(date) % 5 <> without GROUP BY 1, 2"""
     return sql

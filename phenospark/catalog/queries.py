@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar, values
-from ..operators import clean, dataset, features, grid, labels, metrics, outliers, score, train
+from ..operators import clean, dataset, features, grid, labels, metrics, outliers, score, statistics, train
 from ..operators.consistency import consistency_filter
 from ..operators.gapfill import interpolate
 from ..operators.resample import resample
@@ -455,17 +455,34 @@ def importance_topk(spark, d):
 
 
 def model_search(spark, d):
-    model, data = _fitted(
-        spark, d, "randomforest", "classification", folds=5,
-        grid=train.GRIDS["randomforest"], fold_by=("location_id",),
-    )
-    return spark.createDataFrame(
-        sorted((k, float(v)) for k, v in {**model.metrics, **model.best_params}.items()
-               if v is not None),
-        "metric string, value double",
+    """The whole grid: a row per setting with its held-out score over five folds."""
+    data = _training(spark, d, "classification")
+    names = dataset.feature_columns(data.columns)
+    table = stored(train.model_input(data, names, "bloom_label", keep=("location_id",)), "training")
+    return train.search_settings(
+        table, train.usable_features(table, names), "randomforest", "classification",
+        train.GRIDS["randomforest"], 5, ("location_id",),
     )
 
 
+def _inputs(spark, d):
+    """The model inputs, cut to five digits, so that a mean of two of them has six; and their names."""
+    data = tidy(all_features(spark, d))
+    names = dataset.feature_columns(data.columns)
+    cut = [(F.floor(F.col(c).cast("double") * 100000.0) / 100000.0).alias(c) for c in names]
+    return stored(data.select((F.year("date") % 5).alias("fold"), *cut), "inputs"), names
+
+
+def model_medians(spark, d):
+    """The exact median of every model input."""
+    return statistics.column_statistics(*_inputs(spark, d)).select("feature", "n", "median")
+
+
+def fold_statistics(spark, d):
+    """What preparation needs of every training set: all rows but those of a fold of years."""
+    return statistics.column_statistics(*_inputs(spark, d), "fold").where("without is not null")
+
+
 def model_overlay(spark, d):
     model, data = _fitted(spark, d, "randomforest", "classification", numTrees=SIZE)
     return timeseries_report(model, data, label_spring_jump(spark, d))
@@ -608,7 +625,7 @@ _ALL = (
     metrics_cls, class_report, curve_areas, confusion, roc_points, pr_points, evaluation_cls,
     metrics_reg, residual_hist, residual_rows,
     model_rf_cls, model_rf_reg, model_gbt_cls, model_gbt_reg, importance_topk, model_search,
-    model_overlay,
+    model_overlay, model_medians, fold_statistics,
     bbox_date_filter, band_select, grid_points, sample_nearest, sample_phenology,
     union_normalise, summary, doy_dates, demo_bloom,
     stream_score, stream_month, stream_features, stream_features_latest,

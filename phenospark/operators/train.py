@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from ..schema import DATE, LOCATION
 from ..sources.shared import stored
 from . import metrics
 from .dataset import feature_columns
+from .search import SEARCH_ROWS, nested_search
 
 SEED = 42
 MODEL_TYPES = ("randomforest", "xgboost")
@@ -117,6 +117,21 @@ def with_folds(table: DataFrame, fold_by: Sequence[str], folds: int) -> DataFram
     return table.withColumn("fold_key", key).join(dealt, "fold_key").drop("fold_key")
 
 
+def search_settings(
+    table: DataFrame, features: Sequence[str], model_type: str, task: str, grid: dict[str, list], folds: int = 5,
+    fold_by: Sequence[str] = (LOCATION, DATE), parallelism: int = 8, rows: int = SEARCH_ROWS, **params,
+) -> DataFrame:
+    """A row per setting of the grid with its held-out score; see ``search.nested_search``."""
+
+    def ensemble(**chosen):
+        return _ESTIMATORS[model_type, task](featuresCol="scaled", labelCol="label", seed=SEED, **{**params, **chosen})
+
+    return nested_search(
+        with_folds(table, fold_by, folds), features, model_type, task == "classification", grid, folds, ensemble,
+        rows, parallelism,
+    )
+
+
 def train_model(
     dataset: DataFrame,
     model_type: str = "randomforest",
@@ -124,15 +139,17 @@ def train_model(
     folds: int = 5,
     grid: dict[str, list] | None = None,
     fold_by: Sequence[str] = (LOCATION, DATE),
-    parallelism: int = 4,
+    parallelism: int = 8,
     store: bool = True,
+    search_rows: int = SEARCH_ROWS,
     **params,
 ) -> BloomModel:
     """Fit, with a cross-validated search when a ``grid`` is given (see ``GRIDS``).
 
     Folds come from a hash of ``fold_by``, so a recomputed partition lands in the same
     fold; ``fold_by=("location_id",)`` keeps a location's rows together.  The metrics
-    are in-sample; the search's score is held out.  Training reads its table many times:
+    are in-sample; the search's score is held out, and it looks at ``search_rows`` rows at most, while
+    the best setting is fitted on all.  Training reads its table many times:
     ``store=False`` says the dataset is a stored table already.
     """
     target, names = TARGETS[task], feature_columns(dataset.columns)
@@ -146,21 +163,14 @@ def train_model(
     if grid is None:
         fitted = pipeline.fit(table)
     else:
-        if task == "classification":
-            judge = BinaryClassificationEvaluator(metricName="areaUnderROC")
-        else:
-            judge = RegressionEvaluator(metricName="mae")
-        model = pipeline.getStages()[-1]
-        search = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=param_grid(model, grid), evaluator=judge,
-            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=SEED,
-        )
-        found = search.fit(with_folds(table, fold_by, folds))
-        fitted = found.bestModel
-        pick = max if judge.isLargerBetter() else min
-        cv_score = pick(found.avgMetrics)
-        best = fitted.stages[-1]
-        best_params = {name: best.getOrDefault(name) for name in grid}
+        found = search_settings(
+            table, features, model_type, task, grid, folds, fold_by, parallelism, search_rows, **params
+        ).collect()
+        order = -1 if task == "classification" else 1
+        best = min((r for r in found if r["score"] is not None), key=lambda r: order * r["score"])
+        cv_score = best["score"]
+        best_params = {n: type(grid[n][0])(best[n]) for n in grid}
+        fitted = model_pipeline(model_type, task, features, **{**params, **best_params}).fit(table)
     # a copy leaves the training summary behind, which would tie the model to the session
     fitted = fitted.copy()
     out = BloomModel(fitted, features, task, model_type, best_params=best_params)
