@@ -810,6 +810,33 @@ FROM obs GROUP BY 1, 2""",
         "stream_features_latest": out(
             _trailing(), "wide", BASE, ("value", *rolling_names(), *lag_names())),
     }
+    sql["series_roundtrip"] = out(
+        PROCESSED, "processed", (*BASE, "CAST(year(date) AS INTEGER) AS year"), smooth_series[1])
+    sql["labels_roundtrip"] = sql["label_phenology_epoch"]
+    sql["features_roundtrip"] = sql["all_features"]
+    sql["stream_compacted"] = sql["stream_month"]
+    lines = f"""{RAW}, lines AS (
+  SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'service' ELSE 'own' END AS layout,
+         CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+         CAST(l_partkey AS BIGINT) AS l_partkey,
+         CASE WHEN l_partkey % 13 = 0 OR (l_linenumber % 2 = 0 AND l_partkey % 23 = 0) THEN 'malformed'
+              WHEN l_partkey % 17 = 0 THEN 'missing latitude'
+              WHEN l_partkey % 19 = 0 THEN 'off the globe' END AS rejected_for,
+         latitude, longitude, date, floor(ndvi_raw * 10000) * CAST(0.0001 AS DOUBLE) AS ndvi_raw,
+         CASE WHEN l_linenumber % 2 = 0 THEN CAST(quality AS INTEGER) END AS quality
+  FROM raw)"""
+    doubles = ", ".join(
+        f"CASE WHEN rejected_for IS NULL THEN round({c}, 6) + 0.0 END AS {c}"
+        for c in ("latitude", "longitude", "ndvi_raw"))
+    sql["extract_roundtrip"] = f"""WITH {lines}
+SELECT layout, {TIES}, rejected_for, {doubles},
+       CASE WHEN rejected_for IS NULL THEN date END AS date,
+       CASE WHEN rejected_for IS NULL THEN quality END AS quality FROM lines"""
+    sql["extract_counts"] = f"""WITH {lines}
+SELECT layout, count(*) FILTER (rejected_for IS NULL) AS accepted,
+       count(*) FILTER (rejected_for IS NOT NULL) AS rejected FROM lines GROUP BY 1"""
+    sql["clean_counts"] = f"""WITH {unclean}
+SELECT count(*) AS rows, count(*) FILTER (latitude IS NULL OR v IS NULL) AS removed FROM stored"""
     inputs = [c for c in (*feature_plain, *feature_doubles) if c not in NOT_FEATURES]
     cells = f"""feats_long AS (
   UNPIVOT (SELECT date, {', '.join(f'floor(CAST({c} AS DOUBLE) * 100000.0::DOUBLE) / 100000.0::DOUBLE AS {c}' for c in inputs)} FROM whole)

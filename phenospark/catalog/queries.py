@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar, values
 from ..operators import clean, dataset, features, grid, labels, metrics, outliers, score, statistics, train
@@ -16,11 +17,13 @@ from ..operators.smooth import apply_smoothing, smooth
 from ..plans.evaluation import evaluation_metrics, timeseries_report
 from ..plans.preprocess import preprocess
 from ..plans.scoring import prediction_export, score_requests
-from ..schema import PHENOLOGY_BANDS
+from ..schema import PHENOLOGY_BANDS, RAW
+from ..sources.ingest import ingest
+from ..sources.publish import publish
 from ..sources.readers import union_extracts
 from ..sources.shared import shared_folder, stored
 from ..sources.writers import summarise, summarise_labels
-from ..streaming import jobs
+from ..streaming import jobs, updates
 from . import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -535,6 +538,62 @@ def union_normalise(spark, d):
     return union_extracts([first, second])
 
 
+def _extracts(spark, d):
+    """The observations written as extract files of two layouts and taken in again."""
+    home = shared_folder(spark, "extracts")
+    for layout, texts in t.extract_texts(spark, d).items():
+        texts.write.option("header", True).csv(f"{home}/files/{layout}")
+    known = T.StructType([
+        *RAW.fields, T.StructField("quality", T.IntegerType()),
+        *[T.StructField(c, T.LongType()) for c in t.TIES],
+    ])
+    return ingest(spark, f"{home}/files", f"{home}/table", known)
+
+
+def extract_roundtrip(spark, d):
+    """Every line of the files, with the reason where it was rejected."""
+    return _extracts(spark, d).rows.select(
+        F.regexp_extract("source_file", "/files/([^/]+)/", 1).alias("layout"), *t.TIES,
+        "rejected_for", *[F.when(F.col("accepted"), F.col(c)).alias(c) for c in (*RAW.names, "quality")],
+    )
+
+
+def extract_counts(spark, d):
+    """Accepted and rejected lines, summed over a layout's files."""
+    layout = F.regexp_extract("source_file", "/files/([^/]+)/", 1).alias("layout")
+    return _extracts(spark, d).counts().groupBy(layout).agg(
+        F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+
+
+def clean_counts(spark, d):
+    return clean.count_incomplete(t.unclean_observations(spark, d))
+
+
+def labels_roundtrip(spark, d):
+    """Labels published with the later ones in wrong years, then a re-run that answers for those."""
+    home = shared_folder(spark, "labels")
+    found = stored(label_phenology_epoch(spark, d), "found-labels")
+    late = F.col("year") >= 1995
+    publish(found.withColumn("year", F.when(late, F.col("year") + 4).otherwise(F.col("year"))), home)
+    return publish(found.where(late), home, covers=(1995, 2010))
+
+
+def features_roundtrip(spark, d):
+    """Features published with one year short of rows, and then that year's again."""
+    home = shared_folder(spark, "features")
+    found = stored(all_features(spark, d), "found-features")
+    publish(found.where("year <> 1996 OR month < 6"), home)
+    return publish(found.where("year = 1996"), home)
+
+
+def series_roundtrip(spark, d):
+    """The processed series published twice on one folder; its year comes from the date."""
+    home = shared_folder(spark, "series")
+    found = stored(t.processed(spark, d), "found-series")
+    publish(found, home)
+    return publish(found, home)
+
+
 def summary(spark, d):
     return summarise(apply_smoothing(t.monthly(spark, d)))
 
@@ -608,6 +667,20 @@ def stream_features_latest(spark, d):
     return jobs.latest_updates(spark.read.parquet(f"{home}/table"), KEYS).select(jobs.TRAILING.names)
 
 
+def stream_compacted(spark, d):
+    """Monthly means that twelve batches change, read from one snapshot and the log after it."""
+    home = shared_folder(spark, "stream-compacted")
+    obs = t.keyed(t.raw_observations(t.read(spark, d, "lineitem")))
+    obs.repartition(12, *t.TIES).write.option("compression", "zstd").parquet(f"{home}/arrivals")
+    arriving = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 1).parquet(
+        f"{home}/arrivals")
+    months = jobs.monthly_stream(arriving, lateness=None)
+    key = ("location_id", "month")
+    _run(updates.write_compacted(months, f"{home}/table", f"{home}/state", key, every=5))
+    return updates.read_latest(spark, f"{home}/table", months.schema, key).withColumn(
+        "month", F.col("month").cast("date"))
+
+
 _ALL = (
     clean_scale_clip, clean_compact_key, lenient_dates, coordinate_check, cloud_mask,
     cloud_flag, outlier_global, outlier_seasonal, consistency,
@@ -627,8 +700,9 @@ _ALL = (
     model_rf_cls, model_rf_reg, model_gbt_cls, model_gbt_reg, importance_topk, model_search,
     model_overlay, model_medians, fold_statistics,
     bbox_date_filter, band_select, grid_points, sample_nearest, sample_phenology,
-    union_normalise, summary, doy_dates, demo_bloom,
-    stream_score, stream_month, stream_features, stream_features_latest,
+    union_normalise, extract_roundtrip, extract_counts, clean_counts, labels_roundtrip,
+    features_roundtrip, series_roundtrip, summary, doy_dates, demo_bloom,
+    stream_score, stream_month, stream_features, stream_features_latest, stream_compacted,
 )
 # Names that read better than the function's, which would hide an imported one.
 _NAMES = {"consistency": "consistency_filter", "request_answers": "score_requests"}

@@ -64,6 +64,26 @@ def unclean_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extract_texts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The observations as the texts of extract files in two layouts, some of them spoilt."""
+    raw = raw_observations(read(spark, sf_dir, "lineitem"))
+    day = F.when(F.col("l_partkey") % 13 == 0, "no date").otherwise(F.date_format("date", "yyyy-MM-dd"))
+    latitude = F.when(F.col("l_partkey") % 17 != 0, F.col("latitude") + F.when(
+        F.col("l_partkey") % 19 == 0, 200).otherwise(0)).cast("string")
+    units = F.floor(F.col("ndvi_raw") * 10000).cast("string")
+    keys = [F.col(c).cast("string") for c in TIES]
+    return {
+        "service": raw.where("l_linenumber % 2 = 1").select(
+            latitude.alias("Latitude"), F.col("longitude").cast("string").alias("Longitude"),
+            day.alias("Date"), units.alias("NDVI"), *keys),
+        "own": raw.where("l_linenumber % 2 = 0").select(
+            *keys, day.alias("date"), units.alias("ndvi_raw"),
+            F.when(F.col("l_partkey") % 23 == 0, "good").otherwise(
+                F.col("quality").cast("string")).alias("quality"),
+            latitude.alias("latitude"), F.col("longitude").cast("string").alias("longitude")),
+    }
+
+
 def event_observations(events: DataFrame) -> DataFrame:
     """User as place, event time as date; also a stream's input."""
     return keyed(events.select(
