@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import os
-from collections import ChainMap
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -16,22 +16,65 @@ from pyspark.sql import DataFrame
 from .common import stored, texts
 
 END_ID = 2
-CACHE_BYTES = 32_000_000  # what a worker keeps of known words, by a generous estimate a word
+CACHE_BYTES = 48_000_000  # of the arrays in which a worker keeps known words, some 30 a word
 LONGEST_KEPT = 32  # characters; longer words are encoded anew each time
-ENTRY_BYTES = 260  # of two objects and their place in a dictionary
 BATCH_CHARS = 4_000_000
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
+class KnownWords:
+    """Words and their ids in arrays of at most ``limit`` bytes; all are forgotten when
+    the next ones do not fit.  A word's number holds until then."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.sizes, self.ids = np.zeros(0, "i4"), np.zeros(0, "<u4")
+
+    @property
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.sizes.nbytes + self.ids.nbytes
+
+    def find(self, words: pa.Array) -> np.ndarray:
+        """Each word's number, -1 for the unknown."""
+        if not len(self.words):
+            return np.full(len(words), -1)
+        return np.array(pc.fill_null(pc.index_in(words, value_set=self.words), -1), "i8")
+
+    def of(self, numbers: np.ndarray) -> list[bytes | None]:
+        """The ids of the words of these numbers, None for -1."""
+        ends = np.cumsum(self.sizes, dtype="i8")
+        return [
+            self.ids[ends[i] - self.sizes[i]:ends[i]].tobytes() if i >= 0 else None
+            for i in numbers.tolist()
+        ]
+
+    def keep(self, found: dict[str, bytes]) -> None:
+        """Words that are not known yet."""
+        short = {w: ids for w, ids in found.items() if len(w) <= LONGEST_KEPT}
+        words = pa.array(list(short), pa.large_string())
+        sizes = np.fromiter(map(len, short.values()), "i4", len(short)) // 4
+        ids = np.frombuffer(b"".join(short.values()), "<u4")
+        new = words.nbytes + sizes.nbytes + ids.nbytes
+        if new + self.nbytes > self.limit:
+            self._forget()
+        if new <= self.limit:
+            self.words = pa.concat_arrays([self.words, words])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+
+
 class WordEncoder:
     """Ids of texts with each distinct word encoded once.
 
     This tokenizer works inside words: nothing in its normaliser, splitter or merges looks
     across a space, tab or line end.  So a text's ids are those of its words in order, and
     a word met before need not be encoded again.  Texts in Latin-1 are lower-cased first,
-    which the normaliser would do anyway; letters and the ASCII marks after them (no
+    which the normaliser would do anyway; letters (that stay letters when normalised) and the ASCII marks after them (no
     apostrophe) are two of its pieces and are looked up on their own.  Any other word goes
-    through the tokenizer as it is.  Known words are forgotten when they fill
+    through the tokenizer as it is.  Known words and pieces are forgotten when they fill
     ``cache_bytes``; long words are never kept.
     """
 
@@ -44,21 +87,15 @@ class WordEncoder:
             vocabulary = json.load(file)["model"]["vocab"]
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.cache_bytes = cache_bytes
-        self._forget()
+        self.known = KnownWords(cache_bytes)
 
-    def _forget(self) -> None:
-        self.words: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.held = 0
+    @property
+    def held(self) -> int:
+        return self.known.nbytes
 
-    def _keep(self, memory: str, found: dict[str, bytes]) -> None:
-        short = {w: ids for w, ids in found.items() if len(w) <= LONGEST_KEPT}
-        self.held += ENTRY_BYTES * len(short)
-        if self.held > self.cache_bytes:
-            self._forget()
-        else:
-            getattr(self, memory).update(short)
+    @property
+    def words(self) -> list[str]:
+        return self.known.words.to_pylist()
 
     def plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -80,29 +117,38 @@ class WordEncoder:
                 begin = end
         return found
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
+    def _learn(
+        self, new: list[str], stems: list[str], stem_ids: list[bytes | None]
+    ) -> dict[str, bytes]:
+        """The ids of the new words and, after them, of their letters where those are new too.
+
+        A stem is a word without the marks at its end.
+        """
         found: dict[str, bytes] = {}
-        parted, odd, pieces = [], [], set()
-        for word in new:
-            letters = word.rstrip(MARKS)
-            if letters.isalpha():
-                marks = word[len(letters):]
-                parted.append((word, letters, marks))
-                pieces.add(letters)
-                pieces.add(marks)
-            else:
+        known: dict[str, bytes] = {}
+        odd, letters, marks = [], {}, {}
+        for word, stem, ids in zip(new, stems, stem_ids, strict=True):
+            if not (stem if stem.isascii() else normalize("NFC", stem).lower()).isalpha():
                 odd.append(word)
-        learnt = self._learn_pieces(list(pieces.difference(self.pieces)))
-        known = ChainMap(learnt, self.pieces)
-        for word, letters, marks in parted:
-            found[word] = known[letters] + known[marks] if marks else known[letters]
+                continue
+            marks[word[len(stem):]] = None
+            if ids is None:
+                letters[stem] = None
+            else:
+                known[stem] = ids
+        learnt = self._learn_pieces(list(letters))
+        known |= learnt
+        ends = {"": b""} | self._learn_pieces([m for m in marks if m])
         for k in range(0, len(odd), 2000):
             part = odd[k:k + 2000]
             done = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
             for word, one in zip(part, done, strict=True):
                 found[word] = np.array(one.ids, "<u4").tobytes()
-        self._keep("pieces", learnt)
-        return found
+        every = {
+            word: found[word] if word in found else known[stem] + ends[word[len(stem):]]
+            for word, stem in zip(new, stems, strict=True)
+        }
+        return every | {p: ids for p, ids in learnt.items() if p not in every}
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and how many each text has."""
@@ -116,14 +162,22 @@ class WordEncoder:
             spaced.append(text.replace("\n", " ").replace("\t", " "))
         split = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        new = self._learn([w for w in distinct if w not in self.words])
-        known = [self.words[w] if w in self.words else new[w] for w in distinct]
-        self._keep("words", new)
-        sizes = np.fromiter(map(len, known), "i8", len(known)) // 4
-        pool, first = np.frombuffer(b"".join(known), "<u4"), np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        length = sizes[codes]
+        words = coded.dictionary
+        stems = pc.utf8_rtrim(words, characters=MARKS)
+        both = self.known.find(pa.concat_arrays([words, stems]))
+        place, stem_place = both[:len(words)], both[len(words):]
+        unknown = np.flatnonzero(place < 0)
+        take = pa.array(unknown, pa.int64())
+        new = self._learn(
+            words.take(take).to_pylist(), stems.take(take).to_pylist(), self.known.of(stem_place[unknown])
+        )  # the new words first and in order
+        place[unknown] = len(self.known.words) + np.arange(len(unknown))
+        sizes = np.concatenate([self.known.sizes, np.fromiter(map(len, new.values()), "i4", len(new)) // 4])
+        pool = np.concatenate([self.known.ids, np.frombuffer(b"".join(new.values()), "<u4")])
+        first = np.cumsum(sizes, dtype="i8") - sizes
+        self.known.keep(new)
+        codes = place[coded.indices.to_numpy()]
+        length = sizes[codes].astype("i8")
         ends = np.cumsum(length)
         at = np.repeat(first[codes] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
         word_ends = split.offsets.to_numpy()

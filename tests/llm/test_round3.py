@@ -210,3 +210,21 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+@pytest.mark.parametrize("cache", [300, 20_000, 400_000])
+def test_words_forgotten_between_batches_give_the_same_ids(cache):
+    rng = random.Random(cache)
+    encoder = WordEncoder(PATH, cache_bytes=cache)
+    for _ in range(12):
+        texts = [
+            " ".join(rng.choice(["titi", "w%d" % rng.randrange(5000), "Word%s," % chr(97 + rng.randrange(26)),
+                                 "İ.", "क़!", "", "(a)", "naïve;", "本İ-"])
+                     for _ in range(rng.randrange(200)))
+            for _ in range(40)
+        ]
+        ids, sizes = encoder.encode(texts)
+        ends = sizes.cumsum().tolist()
+        for text, a, b in zip(texts, [0, *ends], ends):
+            assert ids[a:b].astype("<u4").tobytes() == encoder.plain(text)
+        assert encoder.held <= cache and len(set(encoder.words)) == len(encoder.words)
