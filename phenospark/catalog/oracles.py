@@ -546,6 +546,33 @@ def _metric_rows() -> str:
 {rows} UNION ALL SELECT 'roc_auc', round(roc_auc, 6) + 0.0 FROM areas"""
 
 
+def _long(part: str, item: str, threshold: str, measures: Sequence[str], source: str) -> str:
+    """Rows of one table of a report, a row per measure."""
+    return " UNION ALL ".join(
+        f"SELECT '{part}' AS part, {item} AS item, round(CAST({threshold} AS DOUBLE), 6) + 0.0 AS threshold, "
+        f"'{m}' AS measure, round(CAST(\"{m}\" AS DOUBLE), 6) + 0.0 AS value FROM {source}" for m in measures)
+
+
+def _class_tables(sql: dict[str, str]) -> str:
+    return " UNION ALL ".join((
+        _long("metrics", "metric", "NULL", ("value",), f"({sql['evaluation_cls']})"),
+        _long("confusion", "label || '/' || prediction", "NULL", ("rows",), f"({sql['confusion']})"),
+        _long("class_report", '"class"', "NULL", ("precision", "recall", "f1", "support"), f"({sql['class_report']})"),
+        _long("roc_points", "CAST(NULL AS VARCHAR)", "threshold", ("fpr", "tpr"), f"({sql['roc_points']})"),
+        _long("pr_points", "CAST(NULL AS VARCHAR)", "threshold", ("precision", "recall"), f"({sql['pr_points']})"),
+    ))
+
+
+def _regression_tables(sql: dict[str, str]) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, {m} AS value FROM ({sql['metrics_reg']})" for m in ("mae", "mse", "rmse", "r2"))
+    return " UNION ALL ".join((
+        _long("metrics", "metric", "NULL", ("value",), f"({rows})"),
+        _long("residual_histogram", "CAST(bin AS VARCHAR)", "NULL", ("bin_low", "bin_high", "rows"),
+              f"({sql['residual_hist']})"),
+    ))
+
+
 def _trailing() -> str:
     """Features over the monthly means, for months the watermark has closed."""
     return f"""{MONTHLY}, rows_ AS (
@@ -812,6 +839,8 @@ FROM obs GROUP BY 1, 2""",
     }
     sql["series_roundtrip"] = out(
         PROCESSED, "processed", (*BASE, "CAST(year(date) AS INTEGER) AS year"), smooth_series[1])
+    sql["evaluation_tables"] = _class_tables(sql)
+    sql["evaluation_reg"] = _regression_tables(sql)
     sql["labels_roundtrip"] = sql["label_phenology_epoch"]
     sql["features_roundtrip"] = sql["all_features"]
     sql["stream_compacted"] = sql["stream_month"]

@@ -14,6 +14,7 @@ from ..operators.consistency import consistency_filter
 from ..operators.gapfill import interpolate
 from ..operators.resample import resample
 from ..operators.smooth import apply_smoothing, smooth
+from ..plans import evaluation
 from ..plans.evaluation import evaluation_metrics, timeseries_report
 from ..plans.preprocess import preprocess
 from ..plans.scoring import prediction_export, score_requests
@@ -393,6 +394,11 @@ def evaluation_cls(spark, d):
     return evaluation_metrics(stored(_judged(spark, d), "judged"), "classification")
 
 
+def evaluation_tables(spark, d):
+    """The whole class report as one long table."""
+    return evaluation.report_rows(evaluation.evaluation_tables(_judged(spark, d), "classification"))
+
+
 def _guessed(spark, d):
     rows = dataset.regression_set(
         t.unsmoothed(spark, d).withColumn("year", F.year("date")), label_spring_jump(spark, d)
@@ -415,6 +421,11 @@ def residual_rows(spark, d):
     return metrics.with_residuals(_guessed(spark, d))
 
 
+def evaluation_reg(spark, d):
+    """The whole regression report, but for its residual rows, as one long table."""
+    return evaluation.report_rows(evaluation.evaluation_tables(_guessed(spark, d), "regression"))
+
+
 # --- models ---------------------------------------------------------------------------
 
 SIZE = 100  # trees or rounds where nothing is searched: the middle of ``train.GRIDS``
@@ -696,7 +707,7 @@ _ALL = (
     score_rule, onset_first, onset_first_flag, onset_nearest_doy, confidence, bloom_events,
     location_peak, request_answers, prediction_rows, timeseries_overlay,
     metrics_cls, class_report, curve_areas, confusion, roc_points, pr_points, evaluation_cls,
-    metrics_reg, residual_hist, residual_rows,
+    evaluation_tables, metrics_reg, residual_hist, residual_rows, evaluation_reg,
     model_rf_cls, model_rf_reg, model_gbt_cls, model_gbt_reg, importance_topk, model_search,
     model_overlay, model_medians, fold_statistics,
     bbox_date_filter, band_select, grid_points, sample_nearest, sample_phenology,

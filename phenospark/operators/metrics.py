@@ -12,20 +12,34 @@ from ..sources.shared import stored
 ROWS_PER_RANGE = 1_000_000
 
 
-def _count(test: Column) -> Column:
-    return F.coalesce(F.sum(test.cast("long")), F.lit(0).cast("long"))
+def _count(test: Column, weight: str | None = None) -> Column:
+    rows = test.cast("long") if weight is None else F.when(test, F.col(weight))
+    return F.coalesce(F.sum(rows), F.lit(0).cast("long"))
 
 
-def _counts(label: str, prediction: str) -> list[Column]:
+def _counts(label: str, prediction: str, weight: str | None = None) -> list[Column]:
     y, p = F.col(label), F.col(prediction)
     return [
-        _count((y == 1) & (p == 1)).alias("tp"),
-        _count((y == 0) & (p == 1)).alias("fp"),
-        _count((y == 1) & (p == 0)).alias("fn"),
-        _count((y == 0) & (p == 0)).alias("tn"),
+        _count((y == 1) & (p == 1), weight).alias("tp"),
+        _count((y == 0) & (p == 1), weight).alias("fp"),
+        _count((y == 1) & (p == 0), weight).alias("fn"),
+        _count((y == 0) & (p == 0), weight).alias("tn"),
     ]
 
 
+def outcome_counts(
+    df: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score"
+) -> DataFrame:
+    """How many ``rows`` share a label, a prediction and a score, stored.
+
+    One read of the scored rows, reduced map-side; every table of a class report follows
+    from it with ``weight="rows"``.
+    """
+    return stored(
+        df.groupBy(label, prediction, score).agg(F.count(F.lit(1)).alias("rows")), "outcomes"
+    )
+
+
 def _ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom), F.lit(0.0))
 
@@ -35,11 +49,11 @@ def _f1(tp: Column, fp: Column, fn: Column) -> Column:
 
 
 def classification_metrics(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
 ) -> DataFrame:
     """Accuracy, precision, recall and F1 of class 1; 0 where undefined."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return df.agg(*_counts(label, prediction)).select(
+    return df.agg(*_counts(label, prediction, weight)).select(
         _ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
@@ -48,13 +62,14 @@ def classification_metrics(
 
 
 def class_report(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, and their macro and weighted means.
 
-    Classes that neither occur nor are predicted are left out.
+    Classes that neither occur nor are predicted are left out.  ``weight`` names a column
+    that says how many rows a row stands for.
     """
-    one = df.agg(*_counts(label, prediction))
+    one = df.agg(*_counts(label, prediction, weight))
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
 
     def row(name: str, hit: Column, wrong: Column, missed: Column) -> Column:
@@ -103,11 +118,11 @@ def class_report(
 
 
 def confusion_table(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None
 ) -> DataFrame:
     """Row count for each of the four (label, prediction) pairs."""
     cells = [("tn", 0, 0), ("fp", 0, 1), ("fn", 1, 0), ("tp", 1, 1)]
-    return df.agg(*_counts(label, prediction)).select(F.explode(F.array(*[
+    return df.agg(*_counts(label, prediction, weight)).select(F.explode(F.array(*[
         F.struct(
             F.lit(y).alias("label"), F.lit(p).alias("prediction"), F.col(c).alias("rows")
         )
@@ -126,7 +141,7 @@ class ScoreSteps:
 
 def score_steps(
     df: DataFrame, label: str = "label", score: str = "score",
-    rows_per_range: int = ROWS_PER_RANGE,
+    rows_per_range: int = ROWS_PER_RANGE, weight: str | None = None,
 ) -> ScoreSteps:
     """Per distinct score, its positives and negatives and those at or above it.
 
@@ -139,7 +154,7 @@ def score_steps(
     y = F.col(label)
     steps = stored(
         df.where(F.col(score).isNotNull() & ~F.isnan(score)).groupBy(F.col(score).alias("threshold")).agg(
-            _count(y == 1).alias("pos"), _count(y == 0).alias("neg")
+            _count(y == 1, weight).alias("pos"), _count(y == 0, weight).alias("neg")
         ),
         "score-steps",
     )
@@ -176,9 +191,11 @@ def _share(count: Column, total: int) -> Column:
     return count / F.lit(float(total)) if total else F.lit(None).cast("double")
 
 
-def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def roc_points(
+    df: DataFrame, label: str = "label", score: str = "score", steps: ScoreSteps | None = None
+) -> DataFrame:
     """Every threshold's false and true positive rate; the (0, 0) start has no threshold."""
-    steps = score_steps(df, label, score)
+    steps = steps or score_steps(df, label, score)
     rated = steps.rows.select(
         "threshold",
         _share(F.col("fp"), steps.negatives).alias("fpr"),
@@ -191,9 +208,11 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
     return start.unionByName(rated)
 
 
-def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def pr_points(
+    df: DataFrame, label: str = "label", score: str = "score", steps: ScoreSteps | None = None
+) -> DataFrame:
     """Every threshold's precision and recall, closed by the point (1, 0)."""
-    steps = score_steps(df, label, score)
+    steps = steps or score_steps(df, label, score)
     rated = steps.rows.select(
         "threshold",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
@@ -206,13 +225,15 @@ def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> Data
     return end.unionByName(rated)
 
 
-def curve_areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def curve_areas(
+    df: DataFrame, label: str = "label", score: str = "score", steps: ScoreSteps | None = None
+) -> DataFrame:
     """Areas under both curves by the trapezoid rule; NULL when a class is missing.
 
     The ROC area equals the rank statistic with ties counted half; the precision-recall
     area runs along increasing recall, so it is positive.
     """
-    steps = score_steps(df, label, score)
+    steps = steps or score_steps(df, label, score)
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     earlier = tp + fp - pos - neg
     before = F.when(earlier > 0, F.try_divide(tp - pos, earlier)).otherwise(1.0)
@@ -247,13 +268,17 @@ def with_residuals(
     return df.withColumn("residual", F.col(label) - F.col(prediction))
 
 
-def residual_histogram(df: DataFrame, residual: str = "residual", bins: int = 30) -> DataFrame:
+def residual_histogram(
+    df: DataFrame, residual: str = "residual", bins: int = 30, store: bool = True
+) -> DataFrame:
     """Equal-width bins from lowest to highest residual, empty ones included.
 
     The highest residual falls in the last bin; when all are equal the range is one wide
-    around them.
+    around them.  The residuals are read for their ends and for their bins: ``store=False``
+    says they are a stored table already.
     """
-    df = stored(df.select(residual), "residuals")  # read for its ends, then for its bins
+    if store:
+        df = stored(df.select(residual), "residuals")
     low, high = df.agg(F.min(residual), F.max(residual)).first()
     if low is not None and low == high:
         low, high = low - 0.5, high + 0.5
