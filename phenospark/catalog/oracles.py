@@ -380,6 +380,37 @@ def nearest(pixels: str, grid_name: str, reach_m: float, values: Sequence[str])
    AND p.longitude BETWEEN g.longitude - {reach} AND g.longitude + {reach})"""
 
 
+POLAR = """polar AS (
+  SELECT latitude, CASE WHEN east > 180 THEN east - 360 ELSE east END AS longitude, date, ndvi_raw
+  FROM (SELECT l_partkey * 7 % 1000 * CAST(0.013 AS DOUBLE) + CAST(76.5 AS DOUBLE) AS latitude,
+               l_suppkey * 37 % 1000 * CAST(0.017 AS DOUBLE) + 172 AS east,
+               CAST(date_trunc('quarter', CAST(l_shipdate AS DATE)) AS DATE) AS date,
+               l_discount * 5 + l_extendedprice * CAST(0.000004 AS DOUBLE) AS ndvi_raw
+        FROM lineitem WHERE l_linenumber % 2 = 1)),
+points AS (
+  SELECT x AS grid_x, y AS grid_y, y * CAST(0.1 AS DOUBLE) + CAST(76.5 AS DOUBLE) AS latitude,
+         x * CAST(0.1 AS DOUBLE) + 172 AS longitude FROM range(0, 171) rx(x), range(0, 131) ry(y))"""
+
+
+def within(pixels: str, points: str, reach_m: float, values: Sequence[str]) -> str:
+    """Every pixel within reach of a point by haversine distance, ranked; points of a row near
+    the pixel's latitude are all tried."""
+    return f"""tried AS (
+  SELECT g.grid_x, g.grid_y, g.latitude, g.longitude, p.date, p.latitude AS lat, p.longitude AS lon,
+         {', '.join('p.' + v for v in values)},
+         round(2 * CAST(6371008.8 AS DOUBLE) * asin(sqrt(least(1.0,
+           pow(sin(radians(p.latitude - g.latitude) / 2), 2) + cos(radians(p.latitude))
+           * cos(radians(g.latitude)) * pow(sin(radians(p.longitude - g.longitude) / 2), 2)))), 3) AS metres
+  FROM {points} g JOIN {pixels} p
+    ON g.latitude BETWEEN p.latitude - {reach_m / 111_000} AND p.latitude + {reach_m / 111_000}),
+served AS (
+  SELECT latitude, CASE WHEN longitude > 180 THEN longitude - 360 ELSE longitude END AS longitude,
+         date, metres, {', '.join(values)},
+         row_number() OVER (PARTITION BY grid_x, grid_y, date ORDER BY metres, lat, lon,
+           {', '.join(f'{v} NULLS FIRST' for v in values)}) AS rank
+  FROM tried WHERE metres <= {reach_m})"""
+
+
 REQUESTS = f"""req AS (
   SELECT o_orderkey AS request_id,
          CASE WHEN o_custkey % 97 = 0 THEN 95.0 ELSE {LAT.format(k='k')} END AS latitude,
@@ -804,6 +835,14 @@ UNION ALL SELECT 1, 0, CAST(fn AS BIGINT) FROM c UNION ALL SELECT 1, 1, CAST(tp
   SELECT * FROM phen WHERE date = (SELECT min(date) FROM phen)),
 {nearest('image', 'g', 4000, PHENOLOGY_BANDS)}""", "offers", ("date",),
             (*PLACES, *PHENOLOGY_BANDS), "rank = 1"),
+        "sample_distance": out(
+            f"{POLAR}, {within('polar', 'points', 3000, ['ndvi_raw'])}", "served", ("date",),
+            (*PLACES, "metres", "ndvi_raw"), "rank = 1"),
+        "sample_phenology_distance": out(
+            f"""{PHENOLOGY}, {grid('phen', 'g')}, image AS (
+  SELECT * FROM phen WHERE date = (SELECT min(date) FROM phen)),
+{within('image', 'g', 4000, PHENOLOGY_BANDS)}""", "served", ("date",),
+            (*PLACES, "metres", *PHENOLOGY_BANDS), "rank = 1"),
         "union_normalise": """SELECT CAST(l_shipdate AS DATE) AS date, NULL AS quality,
   CAST(l_suppkey AS DOUBLE) AS latitude, CAST(l_partkey AS DOUBLE) AS longitude,
   round(l_discount * 100000 * 0.0001, 6) + 0.0 AS ndvi_raw FROM lineitem

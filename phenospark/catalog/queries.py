@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import calendar, values
-from ..operators import clean, dataset, features, grid, labels, metrics, outliers, score, statistics, train
+from ..operators import clean, dataset, features, grid, labels, metrics, nearby, outliers, score, statistics, train
 from ..operators.consistency import consistency_filter
 from ..operators.gapfill import interpolate
 from ..operators.resample import resample
@@ -532,6 +532,19 @@ def sample_phenology(spark, d):
     return grid.sample_phenology(pixels, grid.table_bounds(pixels), scale=4000.0)
 
 
+POLAR = grid.Bounds(172.0, 76.5, -171.0, 89.5)
+
+
+def sample_distance(spark, d):
+    """The nearest pixel within 3 km of every point of an area across the date line."""
+    return nearby.sample_within(t.polar_pixels(spark, d), POLAR, reach=3000.0)
+
+
+def sample_phenology_distance(spark, d):
+    pixels = t.phenology_pixels(spark, d)
+    return nearby.sample_phenology_within(pixels, grid.table_bounds(pixels), reach=4000.0)
+
+
 def union_normalise(spark, d):
     first = t.read(spark, d, "lineitem").select(
         F.col("l_suppkey").cast("double").alias("Latitude"),
@@ -711,6 +724,7 @@ _ALL = (
     model_rf_cls, model_rf_reg, model_gbt_cls, model_gbt_reg, importance_topk, model_search,
     model_overlay, model_medians, fold_statistics,
     bbox_date_filter, band_select, grid_points, sample_nearest, sample_phenology,
+    sample_distance, sample_phenology_distance,
     union_normalise, extract_roundtrip, extract_counts, clean_counts, labels_roundtrip,
     features_roundtrip, series_roundtrip, summary, doy_dates, demo_bloom,
     stream_score, stream_month, stream_features, stream_features_latest, stream_compacted,

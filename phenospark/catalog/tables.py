@@ -145,6 +145,17 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def polar_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scaled first product of ``pixels``, moved to the far north across the date line."""
+    east = F.col("l_suppkey") * 37 % 1000 * 0.017 + 172.0
+    return read(spark, sf_dir, "lineitem").where("l_linenumber % 2 = 1").select(
+        (F.col("l_partkey") * 7 % 1000 * 0.013 + 76.5).alias("latitude"),
+        F.when(east > 180.0, east - 360.0).otherwise(east).alias("longitude"),
+        F.trunc(F.col("l_shipdate").cast("date"), "quarter").alias("date"),
+        (F.col("l_discount") * 5 + F.col("l_extendedprice") * 0.000004).alias("ndvi_raw"),
+    )
+
+
 def phenology_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as pixels; days from 0 to 479, one cycle in five missing."""
     order, cust = F.col("o_orderkey"), F.col("o_custkey")
