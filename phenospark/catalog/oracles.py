@@ -853,6 +853,13 @@ SELECT count(*) AS records, count(DISTINCT location_id) AS locations, min(date)
        max(date) AS last_date, round(min(ndvi_smoothed), 6) + 0.0 AS lowest,
        round(max(ndvi_smoothed), 6) + 0.0 AS highest, round(avg(ndvi_smoothed), 6) + 0.0 AS mean
 FROM sm""",
+        "summary_years": f"""WITH {MONTHLY}, {smoothed('monthly', 'sm', SAVGOL_5_2, 35)}
+SELECT CASE WHEN grouping(year) = 0 THEN 'year' ELSE 'all' END AS part, CAST(year AS INTEGER) AS year,
+       count(*) AS records, count(DISTINCT location_id) AS locations, min(date) AS first_date,
+       max(date) AS last_date, round(min(ndvi_smoothed), 6) + 0.0 AS lowest,
+       round(max(ndvi_smoothed), 6) + 0.0 AS highest, round(avg(ndvi_smoothed), 6) + 0.0 AS mean,
+       true AS estimate_holds
+FROM (SELECT *, year(date) AS year FROM sm) GROUP BY GROUPING SETS ((year), ())""",
         "doy_dates": """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS round_trip,
   CASE WHEN year(d) = year(o_orderdate) THEN d END AS some_day
 FROM (SELECT *, make_date(CAST(year(o_orderdate) AS BIGINT), 1, 1)
