@@ -722,6 +722,20 @@ f AS (SELECT *, {CALENDAR}, {rolling('ndvi_smoothed')}, {lags('ndvi_smoothed', (
             "f", (*BASE, *CALENDAR_INTS),
             ("latitude", "longitude", "ndvi_raw", "ndvi_smoothed", *CALENDAR_DOUBLES,
              *rolling_names(), *lag_names((1,)))),
+        "request_model_inputs": out(
+            f"""{UNSMOOTHED}, {REQUESTS}, asked AS (
+  SELECT request_id, {KEY} AS place, latitude, longitude, start_date, end_date
+  FROM req WHERE latitude BETWEEN -90 AND 90),
+steps AS (
+  SELECT a.request_id, a.place, a.request_id AS location_id, a.latitude, a.longitude, s.date,
+         s.ndvi_raw, s.ndvi_smoothed
+  FROM asked a LEFT JOIN series s
+    ON s.location_id = a.place AND s.date BETWEEN a.start_date AND a.end_date),
+p AS (SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY date) AS pos FROM steps),
+f AS (SELECT *, {CALENDAR}, {rolling('ndvi_smoothed')}, {lags('ndvi_smoothed', (1,))} FROM p)""",
+            "f", ("request_id", "place AS location_id", "date", *CALENDAR_INTS),
+            ("latitude", "longitude", "ndvi_raw", "ndvi_smoothed", *CALENDAR_DOUBLES,
+             *rolling_names(), *lag_names((1,)))),
         "raw_features": out(
             f"{UNSMOOTHED}, f AS (SELECT *, {raw_calendar}, "
             f"{rolling('ndvi_raw', WINDOWS, ('mean', 'std'))}, {lags('ndvi_raw', (1, 2, 3))} "
@@ -890,6 +904,10 @@ FROM obs GROUP BY 1, 2""",
     sql["labels_roundtrip"] = sql["label_phenology_epoch"]
     sql["features_roundtrip"] = sql["all_features"]
     sql["stream_compacted"] = sql["stream_month"]
+    sql["stream_model_scores"] = f"""SELECT f.location_id, f.date, CAST(j.year IS NOT NULL AS INTEGER) AS label,
+       CASE WHEN year(f.date) < 1997 THEN 1 ELSE 2 END AS model_version, true AS scored
+FROM ({sql['series_roundtrip']}) f
+LEFT JOIN ({sql['label_spring_jump']}) j ON j.location_id = f.location_id AND j.year = f.year"""
     lines = f"""{RAW}, lines AS (
   SELECT CASE WHEN l_linenumber % 2 = 1 THEN 'service' ELSE 'own' END AS layout,
          CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,

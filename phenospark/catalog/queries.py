@@ -14,7 +14,7 @@ from ..operators.consistency import consistency_filter
 from ..operators.gapfill import interpolate
 from ..operators.resample import resample
 from ..operators.smooth import apply_smoothing, smooth
-from ..plans import evaluation
+from ..plans import evaluation, scoring
 from ..plans.evaluation import evaluation_metrics, timeseries_report
 from ..plans.preprocess import preprocess
 from ..plans.scoring import prediction_export, score_requests
@@ -26,6 +26,7 @@ from ..sources.shared import shared_folder, stored
 from ..sources.summaries import publish_summary, read_summary
 from ..sources.writers import summarise, summarise_labels
 from ..streaming import jobs, updates
+from ..streaming import models as stream_models
 from . import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -200,6 +201,14 @@ def all_features(spark, d):
     return features.all_features(t.processed(spark, d))
 
 
+def request_model_inputs(spark, d):
+    """What a model is given to score each request: a row per step of the request, with the
+    features of its steps alone."""
+    rows = scoring.requested_rows(t.requests(spark, d), t.unsmoothed(spark, d))
+    ready = scoring.request_features(rows)
+    return ready.select("request_id", *[c for c in ready.columns if c not in ("request_id", "start_date", "end_date")])
+
+
 def scoring_features(spark, d):
     return features.scoring_features(t.unsmoothed(spark, d))
 
@@ -628,8 +637,8 @@ def summary_years(spark, d):
     last early year again."""
     path = shared_folder(spark, "summary")
     series = stored(apply_smoothing(t.monthly(spark, d)), "smoothed")
-    publish_summary(series.where("year(date) <= 1995"), path)
-    publish_summary(series.where("year(date) >= 1995"), path)
+    publish_summary(series.where("year(date) <= 1997"), path)
+    publish_summary(series.where("year(date) >= 1997"), path)
     return read_summary(spark, path).withColumn(
         "estimate_holds", F.abs("estimate_error") < 0.02
     ).drop("locations_estimate", "estimate_error")
@@ -718,6 +727,27 @@ def stream_compacted(spark, d):
         "month", F.col("month").cast("date"))
 
 
+def stream_model_scores(spark, d):
+    """Feature rows as they arrive, scored by the model that was newest then: those before 1997
+    by the first of two models, the others by the second, the first fitted on the early rows
+    and the second on all."""
+    home = shared_folder(spark, "stream-models")
+    data = stored(_training(spark, d, "classification"), "dataset")
+    for size, rows in ((50, "year(date) < 1997"), (SIZE, "year(date) >= 1997")):
+        fresh = data.where(rows)
+        model = train.train_model(
+            data if size == SIZE else fresh, "randomforest", "classification", store=False, numTrees=size)
+        stream_models.publish_model(spark, model, f"{home}/registry")
+        fresh.write.mode("append").parquet(f"{home}/arrivals")
+        arriving = spark.readStream.schema(data.schema).parquet(f"{home}/arrivals")
+        _run(stream_models.write_model_scores(
+            arriving, f"{home}/registry", f"{home}/table", f"{home}/state"))
+    return spark.read.parquet(f"{home}/table").select(
+        *KEYS, F.col("label").cast("int").alias("label"), stream_models.VERSION,
+        F.col("score").between(0, 1).alias("scored"),
+    )
+
+
 _ALL = (
     clean_scale_clip, clean_compact_key, lenient_dates, coordinate_check, cloud_mask,
     cloud_flag, outlier_global, outlier_seasonal, consistency,
@@ -730,7 +760,7 @@ _ALL = (
     label_changepoint_binseg, label_changepoint_window, label_changepoint_yearly,
     onset_from_candidates, onset_per_year, label_summary,
     train_set_cls, train_set_reg, class_balance, target_range,
-    score_rule, onset_first, onset_first_flag, onset_nearest_doy, confidence, bloom_events,
+    score_rule, onset_first, onset_first_flag, onset_nearest_doy, confidence, bloom_events, request_model_inputs,
     location_peak, request_answers, prediction_rows, timeseries_overlay,
     metrics_cls, class_report, curve_areas, confusion, roc_points, pr_points, evaluation_cls,
     evaluation_tables, metrics_reg, residual_hist, residual_rows, evaluation_reg,
@@ -741,6 +771,7 @@ _ALL = (
     union_normalise, extract_roundtrip, extract_counts, clean_counts, labels_roundtrip,
     features_roundtrip, series_roundtrip, summary, summary_years, doy_dates, demo_bloom,
     stream_score, stream_month, stream_features, stream_features_latest, stream_compacted,
+    stream_model_scores,
 )
 # Names that read better than the function's, which would hide an imported one.
 _NAMES = {"consistency": "consistency_filter", "request_answers": "score_requests"}
