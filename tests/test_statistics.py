@@ -46,6 +46,20 @@ def test_statistics_equal_loops(table, bins):
     assert len(medians) == want == len(got)
 
 
+def test_a_value_is_stored_and_counted_once(spark):
+    rows = [(k % 3 if k % 10 else None, float(k % 17)) for k in range(120)]
+    df = spark.createDataFrame([(p, v, v) for p, v in rows], "part int, a double, b double")
+    long = statistics.long_values(df, ["a", "b"], "part")
+    assert long.count() == 120  # however many columns
+    counts = statistics._counts(long, [("a", 0.0, 16.0)], 256).collect()
+    assert sum(r["n"] for r in counts) == 120  # not once for every fold left out
+    assert {r["fold"] for r in counts} == {None, 0, 1, 2}
+    got = {r["without"]: (r["n"], r["median"]) for r in statistics.column_statistics(df, ["a"], "part").collect()}
+    for without in (None, 0, 1, 2):
+        some = [v for p, v in rows if without is None or p != without]
+        assert got[without] == (len(some), plain.median(some))
+
+
 def test_area_equals_counting_pairs():
     rng = np.random.default_rng(1)
     y, s = rng.integers(0, 2, 60), rng.integers(0, 9, 60) / 9
