@@ -304,6 +304,33 @@ def test_rules_on_held_out_documents(spark):
     assert all(r["kept"] == (r["doc_id"] % 4 > 0) for r in got) and len(got) == 600
 
 
+def test_all_labelled_rows_grow_the_trees_and_set_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(quality, "KEPT_TREES", 2)  # scores are stored twice
+    n, width = 8400, len(quality.FEATURES)
+    some, y = made_up(n, 5)
+    x = np.zeros((n, width))
+    x[:, :4] = some.round(1)  # few values: the edges of a part of the rows are those of all
+    fold = np.arange(n) % 3
+    measured = spark.createDataFrame(
+        [(k, int(fold[k]), x[k].tolist()) for k in range(n)], "doc_id long, fold_key long, features array<double>")
+    marks = spark.createDataFrame([(k, int(y[k])) for k in range(n)], "doc_id long, quality int")
+    direction = np.array([-1 if f == quality.FEATURES[1] else 0 for f in quality.FEATURES])
+    grow = [quality.fit_trees(x[on], y[on], direction, trees=5) for on in (fold != 0, fold != 1, fold != 2, fold > -1)]
+    unseen = np.choose(fold, [t.probabilities(x) for t in grow[:3]])
+    for options in ({}, {"rows_a_task": 600}):  # 14 tasks, whose sums meet by node
+        trees, least = quality.fit(measured, marks, {quality.FEATURES[1]: -1}, trees=5, **options)
+        assert np.allclose(trees.flat(), grow[3].flat(), atol=1e-6)
+        assert least == pytest.approx(quality.threshold_of(unseen, y == 1), abs=1e-6) and least > 0
+
+
+def test_edges_of_values_alike_are_values_that_occur(spark):
+    x = np.random.default_rng(6).random((3000, len(quality.FEATURES))) - 0.5
+    rows = spark.createDataFrame([(r.tolist(),) for r in x], "features array<double>")
+    for found, column in zip(quality.quantile_edges(rows, len(x)), x.T, strict=True):
+        want = np.quantile(column, np.linspace(0, 1, quality.BINS + 1)[1:-1], method="lower")
+        assert np.isin(found, column).all() and np.allclose(found, want, rtol=1 / 2048, atol=0)
+
+
 def test_bytes_of_sliced_columns():
     column = pa.array(["ab", "", "é c", "d"]).slice(1, 2)
     data, at = bytewords.bytes_of(column)
