@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from .common import stored, texts
 
 END_ID = 2
-CACHE_BYTES = 48_000_000  # of the arrays in which a worker keeps known words, some 30 a word
+CACHE_BYTES = 16_000_000  # of the arrays in which a worker keeps known words, some 30 a word
 LONGEST_KEPT = 32  # characters; longer words are encoded anew each time
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
 MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
@@ -74,8 +74,9 @@ class WordEncoder:
     a word met before need not be encoded again.  Texts in Latin-1 are lower-cased first,
     which the normaliser would do anyway; letters (that stay letters when normalised) and the ASCII marks after them (no
     apostrophe) are two of its pieces and are looked up on their own.  Any other word goes
-    through the tokenizer as it is.  Known words and pieces are forgotten when they fill
-    ``cache_bytes``; long words are never kept.
+    through the tokenizer as it is.  From a quarter of
+    ``cache_bytes`` on only words met twice in one batch are kept: most others do not come back.  Known words and pieces are forgotten when they fill ``cache_bytes``; long words are
+    never kept.
     """
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES) -> None:
@@ -175,7 +176,10 @@ class WordEncoder:
         sizes = np.concatenate([self.known.sizes, np.fromiter(map(len, new.values()), "i4", len(new)) // 4])
         pool = np.concatenate([self.known.ids, np.frombuffer(b"".join(new.values()), "<u4")])
         first = np.cumsum(sizes, dtype="i8") - sizes
-        self.known.keep(new)
+        once = np.bincount(coded.indices.to_numpy(), minlength=len(words))[unknown] == 1
+        full = self.held > self.known.limit // 4
+        rare = {word for word, alone in zip(new, once.tolist(), strict=False) if alone and full}
+        self.known.keep({word: ids for word, ids in new.items() if word not in rare})
         codes = place[coded.indices.to_numpy()]
         length = sizes[codes].astype("i8")
         ends = np.cumsum(length)
@@ -241,5 +245,6 @@ def encode_documents(
                     pa.array(np.full(len(ids), part, "i4")), pa.array(starts),
                     some.column("doc_id"), pa.array(sizes), pa.array(ids, pa.binary()),
                 ], names=["part", "start", "doc_id", "n_tokens", "ids"])
+                pa.default_memory_pool().release_unused()  # the worker shares its executor's memory
 
     return stored(texts(df, id_col, text_col).mapInArrow(run, SCHEMA), "tokens")

@@ -228,3 +228,16 @@ def test_words_forgotten_between_batches_give_the_same_ids(cache):
         for text, a, b in zip(texts, [0, *ends], ends):
             assert ids[a:b].astype("<u4").tobytes() == encoder.plain(text)
         assert encoder.held <= cache and len(set(encoder.words)) == len(encoder.words)
+
+
+def test_a_filling_encoder_keeps_no_word_met_once():
+    rng = random.Random(4)
+    encoder = WordEncoder(PATH, cache_bytes=40_000)
+    for _ in range(6):
+        some = ["".join(rng.choices("bcdfghjkz", k=9)) for _ in range(320)]
+        texts = [" ".join(some), " ".join(some[:20])]
+        full = encoder.held > 10_000
+        ids, sizes = encoder.encode(texts)
+        assert ids[:sizes[0]].astype("<u4").tobytes() == encoder.plain(texts[0])
+        assert ids[sizes[0]:].astype("<u4").tobytes() == encoder.plain(texts[1])
+    assert full and set(some[:20]) <= set(encoder.words) and not set(some[20:]) & set(encoder.words)
