@@ -116,8 +116,8 @@ def sketches(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
         shingles = shingler(words)
         for batch in batches:
             sizes, high, low, keys = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                hashes = shingles(text)
+            for text in batch.column("text"):  # one at a time: a worker shares its executor's memory
+                hashes = shingles(text.as_py())
                 digest = xxhash.xxh3_128_intdigest(hashes.tobytes())
                 sizes.append(len(hashes))
                 high.append((digest >> 64) - (1 << 63))
@@ -171,7 +171,7 @@ def confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Data
         for batch in batches:
             yield pa.RecordBatch.from_arrays([
                 batch.column("centre"),
-                pa.array([shingles(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary()),
+                pa.array([shingles(t.as_py()).tobytes() for t in batch.column("text")], pa.binary()),
             ], names=["centre", "set"])
 
     def linked(batches):

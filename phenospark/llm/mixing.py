@@ -72,7 +72,7 @@ def posteriors(
         look = Features(known)
         for batch in batches:
             found, sizes = [], []
-            for text in batch.column("text").to_pylist():
+            for text in (t.as_py() for t in batch.column("text")):  # one at a time
                 found.append(softmax(w[look(text)].sum(axis=0)[None])[0])
                 sizes.append(len(text.split()))
             yield pa.RecordBatch.from_arrays([
