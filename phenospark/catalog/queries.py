@@ -480,12 +480,9 @@ def importance_topk(spark, d):
 
 def model_search(spark, d):
     """The whole grid: a row per setting with its held-out score over five folds."""
-    data = _training(spark, d, "classification")
-    names = dataset.feature_columns(data.columns)
-    table = stored(train.model_input(data, names, "bloom_label", keep=("location_id",)), "training")
-    return train.search_settings(
-        table, train.usable_features(table, names), "randomforest", "classification",
-        train.GRIDS["randomforest"], 5, ("location_id",),
+    return train.train_model(
+        _training(spark, d, "classification"), "randomforest", "classification", folds=5,
+        grid=train.GRIDS["randomforest"], fold_by=("location_id",), settings_only=True,
     )
 
 

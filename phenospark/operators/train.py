@@ -142,21 +142,27 @@ def train_model(
     parallelism: int = 8,
     store: bool = True,
     search_rows: int = SEARCH_ROWS,
+    settings_only: bool = False,
     **params,
-) -> BloomModel:
+) -> BloomModel | DataFrame:
     """Fit, with a cross-validated search when a ``grid`` is given (see ``GRIDS``).
 
     Folds come from a hash of ``fold_by``, so a recomputed partition lands in the same
     fold; ``fold_by=("location_id",)`` keeps a location's rows together.  The metrics
     are in-sample; the search's score is held out, and it looks at ``search_rows`` rows at most, while
     the best setting is fitted on all.  Training reads its table many times:
-    ``store=False`` says the dataset is a stored table already.
+    ``store=False`` says the dataset is a stored table already.  ``settings_only`` gives the
+    search's rows, one per setting of the grid, in place of the model.
     """
     target, names = TARGETS[task], feature_columns(dataset.columns)
     table = model_input(dataset, names, target, keep=fold_by)
     if store:
         table = stored(table, "training")
     features = usable_features(table, names)
+    if settings_only:
+        return search_settings(
+            table, features, model_type, task, grid, folds, fold_by, parallelism, search_rows, **params
+        )
     pipeline = model_pipeline(model_type, task, features, **params)
     best_params: dict[str, float] = {}
     cv_score = None
