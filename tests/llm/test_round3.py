@@ -241,3 +241,15 @@ def test_a_filling_encoder_keeps_no_word_met_once():
         assert ids[:sizes[0]].astype("<u4").tobytes() == encoder.plain(texts[0])
         assert ids[sizes[0]:].astype("<u4").tobytes() == encoder.plain(texts[1])
     assert full and set(some[:20]) <= set(encoder.words) and not set(some[20:]) & set(encoder.words)
+
+
+def test_a_word_is_kept_once_whatever_marks_follow_it():
+    rng = random.Random(6)
+    letters = ["".join(rng.choices("bcdéfgß", k=9)) for _ in range(200)]
+    texts = [" ".join(w + mark for w in letters for mark in ("", ".", ",", "?!", ")")), "Éa É́. (b) x's, " + letters[0]]
+    encoder = WordEncoder(PATH)
+    for _ in range(2):
+        ids, sizes = encoder.encode(texts)
+        assert ids[:sizes[0]].astype("<u4").tobytes() == encoder.plain(texts[0])
+        assert ids[sizes[0]:].astype("<u4").tobytes() == encoder.plain(texts[1])
+        assert set(letters) <= set(encoder.words) and len(encoder.words) < 220
