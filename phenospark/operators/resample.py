@@ -23,12 +23,16 @@ def resample(
     map-side, so a location holding most of the table costs one row per period; the
     window that finds the gaps then sees at most one row per location and period.
     """
-    cells = df.groupBy(
-        LOCATION, calendar.period_start(F.col(DATE), frequency).alias("period")
+    parts = df.groupBy(
+        LOCATION, calendar.period_start(F.col(DATE), frequency).alias("period"), "latitude", "longitude"
     ).agg(
-        F.avg(value).alias("period_mean"),
-        F.count(F.lit(1)).alias("period_rows"),
-        F.min(F.struct(DATE, "latitude", "longitude")).alias("period_place"),
+        F.sum(F.col(value).cast("double")).alias("total"), F.count(value).alias("valid"),
+        F.count(F.lit(1)).alias("rows"), F.min(DATE).alias("first"),
+    )
+    cells = parts.groupBy(LOCATION, "period").agg(
+        F.try_divide(F.sum("total"), F.sum("valid")).alias("period_mean"),
+        F.sum("rows").alias("period_rows"),
+        F.min(F.struct("first", "latitude", "longitude")).alias("period_place"),
     )
     whole = Window.partitionBy(LOCATION)
     w = whole.orderBy("period")

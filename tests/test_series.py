@@ -240,3 +240,14 @@ def test_smoothed_column_falls_back_and_stays_in_range(make_series):
     df = make_series([.1, .2, .3, .4, .5, .4, .3, .2, .1], [.1, .2, .3], [.4, .5, .6])
     out = column(apply_smoothing(df), "ndvi_smoothed")
     assert len(out) == 15 and all(0 <= v <= 1 for v in out)
+
+
+def test_means_are_hashed_and_take_every_coordinate_of_a_place(spark):
+    day = dt.date(2020, 1, 5)
+    rows = [("a", 1.00001, 2.0, day, 0.2), ("a", 1.00002, 2.0, day, 0.4), ("a", 1.0, 2.0, dt.date(2020, 1, 9), 0.9),
+            ("a", 1.0, 2.0, dt.date(2020, 2, 9), None), ("a", 1.0, 2.0, dt.date(2020, 3, 9), 0.1)]
+    df = spark.createDataFrame(rows, "location_id string, latitude double, longitude double, date date, ndvi_raw double")
+    out = resample(df)
+    got = [(r["latitude"], r["date"].month, r["ndvi_raw"]) for r in out.orderBy("date").collect()]
+    assert got == [(1.00001, 1, pytest.approx(0.5)), (1.00001, 2, None), (1.00001, 3, 0.1)]
+    assert " HashAggregate" in out._jdf.queryExecution().sparkPlan().toString().replace("+-", "")
