@@ -204,7 +204,7 @@ def all_features(spark, d):
 def request_model_inputs(spark, d):
     """What a model is given to score each request: a row per step of the request, with the
     features of its steps alone."""
-    rows = scoring.requested_rows(t.requests(spark, d), t.unsmoothed(spark, d))
+    rows = scoring.requested_rows(t.requests(spark, d), t.unsmoothed(spark, d), trails=True)
     ready = scoring.request_features(rows)
     return ready.select("request_id", *[c for c in ready.columns if c not in ("request_id", "start_date", "end_date")])
 

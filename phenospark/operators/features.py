@@ -31,18 +31,22 @@ def _trailing(n: int) -> WindowSpec:
     return _along().rowsBetween(-(n - 1), 0)
 
 
-def rolling_columns(
-    value: str = SMOOTH_VALUE, windows: Sequence[int] = WINDOWS, stats: Sequence[str] = STATS,
-    position: str = "_pos",
-) -> dict[str, Column]:
-    """Trailing statistics; ``slope`` regresses on ``position``, needs two valid values."""
-    makers = {
+def _makers(position: str) -> dict:
+    return {
         "mean": F.avg,
         "std": F.stddev_samp,
         "min": F.min,
         "max": F.max,
         "slope": lambda v: F.regr_slope(F.col(v), F.col(position)),
     }
+
+
+def rolling_columns(
+    value: str = SMOOTH_VALUE, windows: Sequence[int] = WINDOWS, stats: Sequence[str] = STATS,
+    position: str = "_pos",
+) -> dict[str, Column]:
+    """Trailing statistics; ``slope`` regresses on ``position``, needs two valid values."""
+    makers = _makers(position)
     frames = {n: _trailing(n) for n in windows}
     return {
         f"ndvi_{s}_{n}": makers[s](value).over(frame)
@@ -187,6 +191,41 @@ def scoring_features(df: DataFrame, value: str = SMOOTH_VALUE) -> DataFrame:
     }).drop("_pos")
 
 
+def add_trails(df: DataFrame, value: str = SMOOTH_VALUE) -> DataFrame:
+    """What a row needs for the scoring features of any run of rows that ends with it.
+
+    Beside the calendar columns ``trails`` holds the statistics of the last 1, 2, ... rows, up to the widest
+    window; ``trail_dates`` the dates before the row's, the nearest first; ``trail_value`` the value before.
+    """
+    w, widest, makers = _along(), max(WINDOWS), _makers("_pos")
+    return df.withColumn("_pos", F.row_number().over(w)).withColumns({
+        **calendar.calendar_columns(F.col(DATE)),
+        "trails": F.array(*[
+            F.struct(*[makers[s](value).over(_trailing(n)).alias(s) for s in STATS])
+            for n in range(1, widest + 1)
+        ]),
+        "trail_dates": F.array(*[F.lag(DATE, k).over(w) for k in range(1, widest)]),
+        "trail_value": F.lag(value, 1).over(w),
+    }).drop("_pos")
+
+
+def trail_features(df: DataFrame, start: str, value: str = SMOOTH_VALUE) -> DataFrame:
+    """``scoring_features`` of runs of rows that each begin at the date ``start``, without a
+    window: from the columns of ``add_trails``, which go."""
+    before = [F.get("trail_dates", F.lit(k)) >= F.col(start) for k in range(max(WINDOWS) - 1)]
+    rows = df.withColumn("_rows", reduce(add, [F.coalesce(b.cast("int"), F.lit(0)) for b in before]) + 1)
+    rows = rows.withColumns({
+        **{f"_{n}": F.get("trails", F.least("_rows", F.lit(n)) - 1) for n in WINDOWS},
+        "ndvi_lag_1": F.when(F.col("_rows") > 1, F.col("trail_value")),
+    })
+    dates = calendar.calendar_columns(F.col(DATE))
+    own = [c for c in df.columns if c not in dates and not c.startswith("trail")]
+    return rows.select(
+        *own, *dates, *[F.col(f"_{n}.{s}").alias(f"ndvi_{s}_{n}") for n in WINDOWS for s in STATS],
+        "ndvi_lag_1", (F.col(value) - F.col("ndvi_lag_1")).alias("ndvi_diff_1"),
+    )
+
+
 def raw_features(df: DataFrame) -> DataFrame:
     """The demo set on unsmoothed values: no ISO week, mean and std only, periods 1 to 3."""
     names = calendar.calendar_columns(F.col(DATE))

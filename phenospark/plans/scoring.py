@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import values
 from ..operators import score
 from ..operators.clean import coordinate_ok
-from ..operators.features import scoring_features
+from ..operators.features import add_trails, scoring_features, trail_features
 from ..operators.joins import salted_join
 from ..operators.train import BloomModel, predict
 from ..schema import DATE, LOCATION, PREDICTIONS, RAW_VALUE, SMOOTH_VALUE
+from ..sources.shared import stored
 
 REQUEST = "request_id"
 ANSWER_KEY = (REQUEST, LOCATION, "latitude", "longitude")
@@ -23,18 +24,39 @@ def _keyed(requests: DataFrame) -> DataFrame:
     )
 
 
-def requested_rows(requests: DataFrame, series: DataFrame) -> DataFrame:
+ALONE = "trail_alone"
+
+
+def requested_rows(requests: DataFrame, series: DataFrame, trails: bool = False) -> DataFrame:
     """Series rows of each valid request, both ends of its date range included.
 
     A request without rows keeps one row without a date.  ``series`` holds one row per
     location and date, so the rows of a request are bounded by its dates; a location
     that most requests ask for is cut into parts by request.
+
+    With ``trails`` the rows also carry what ``request_features`` then works from: trailing
+    statistics are the place's, made once however many requests share them, and the rows of
+    a request need not meet again.  ``series`` needs smoothed values for that.  Requests that
+    repeat an id are one series to ``request_features``, and are marked.
     """
     columns = [c for c in (DATE, RAW_VALUE, SMOOTH_VALUE) if c in series.columns]
+    asked = _keyed(requests)
+    if trails:
+        series = add_trails(series.select(LOCATION, *columns))
+        columns = series.columns[1:]
+        asked = _mark_alone(asked)
     within = F.col(f"r.{DATE}").between(F.col("l.start_date"), F.col("l.end_date"))
-    return salted_join(
-        _keyed(requests), series.select(LOCATION, *columns), LOCATION, [REQUEST], within, "left"
-    )
+    return salted_join(asked, series.select(LOCATION, *columns), LOCATION, [REQUEST], within, "left")
+
+
+def _mark_alone(requests: DataFrame) -> DataFrame:
+    """Add whether no other request has the id."""
+    counts = requests.groupBy(REQUEST).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(counts.where("n > 1").select(F.col(REQUEST).alias("_repeated"), F.lit(False).alias(ALONE)), "repeated")
+    if repeated.isEmpty():
+        return requests.withColumn(ALONE, F.lit(True))
+    same = F.col(REQUEST).eqNullSafe(F.col("_repeated"))
+    return requests.join(repeated, same, "left").drop("_repeated").withColumn(ALONE, F.coalesce(ALONE, F.lit(True)))
 
 
 def requested_series(requests: DataFrame, series: DataFrame) -> DataFrame:
@@ -68,6 +90,10 @@ def requested_series(requests: DataFrame, series: DataFrame) -> DataFrame:
 
 def request_features(rows: DataFrame) -> DataFrame:
     """Scoring features over the rows of each request alone."""
+    if ALONE in rows.columns:
+        shared = trail_features(rows.where(ALONE).drop(ALONE), "start_date")
+        plain = rows.where(~F.col(ALONE)).drop(*[c for c in rows.columns if c.startswith("trail")])
+        return shared.unionByName(request_features(plain))
     one_series = rows.withColumn("_place", F.col(LOCATION)).withColumn(
         LOCATION, F.col(REQUEST)
     )

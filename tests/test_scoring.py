@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from phenospark.functions import calendar, values
 from phenospark.operators import score
 from phenospark.operators.joins import salted_join
-from phenospark.plans.scoring import prediction_export, requested_rows, score_requests
+from phenospark.plans.scoring import prediction_export, request_features, requested_rows, score_requests
 from .conftest import column
 
 
@@ -142,3 +142,35 @@ def test_increase_quality(spark):
     df = spark.createDataFrame([(0.15,), (0.9,)], "x double")
     out = df.select(values.increase_quality(F.col("x")).alias("q")).collect()
     assert [r["q"] for r in out] == pytest.approx([0.5, 1.0])
+
+
+def test_shared_trails_equal_a_window_per_request(spark, make_series):
+    rng = random.Random(7)
+    series = make_series(*[
+        [None if rng.random() < 0.2 else rng.random() for _ in range(30)] for _ in range(3)
+    ], [0.5]).withColumn("ndvi_smoothed", F.col("ndvi_raw") + 0.1)
+    places = ["10.0000_20.0000", "10.0000_21.0000", "10.0000_22.0000", "10.0000_23.0000"]
+    series = series.withColumn("location_id", F.element_at(
+        F.array(*map(F.lit, places)), F.substring("location_id", 4, 1).cast("int") + 1))
+    rows = []
+    for i in range(120):
+        start = dt.date(2019, 11, 1) + dt.timedelta(rng.randrange(1000))
+        # ids repeat, one is missing more than once, some ranges are empty or run backwards
+        rows.append((None if i % 40 == 7 else i % 100, 10.0, 20.0 + rng.randrange(5), start,
+                     start + dt.timedelta(rng.choice([-5, 10, 180, 700]))))
+    asked = spark.createDataFrame(rows, REQUESTS)
+    for some in (asked, asked.where("request_id between 20 and 80")):
+        plain = request_features(requested_rows(some, series))
+        shared = request_features(requested_rows(some, series, trails=True))
+        assert shared.schema.names == plain.schema.names
+
+        def told(df):
+            return sorted(
+                tuple(f"{v:.9f}" if isinstance(v, float) else str(v) for v in r) for r in df.collect()
+                if r["request_id"] is not None and (r["request_id"] >= 20)
+            )
+
+        assert told(shared) == told(plain) and shared.count() == plain.count()
+    # nothing meets by request any more where no id repeats
+    plan = shared._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(request_id" not in plan and "hashpartitioning(location_id" in plan
