@@ -13,6 +13,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..schema import DATE, LOCATION
 from ..sources.shared import stored
@@ -82,6 +83,18 @@ def model_pipeline(
     ])
 
 
+def fit_prepared(pipeline: Pipeline, table: DataFrame) -> PipelineModel:
+    """``pipeline.fit(table)`` with the rows prepared once: an ensemble reads them several times
+    before it has bins of its own."""
+    *steps, model = pipeline.getStages()
+    ready = Pipeline(stages=steps).fit(table)
+    rows = ready.transform(table).select("label", "scaled").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[*ready.stages, model.fit(rows)])
+    finally:
+        rows.unpersist()
+
+
 def param_grid(model, grid: dict[str, list]) -> list:
     builder = ParamGridBuilder()
     for name, options in grid.items():
@@ -167,7 +180,7 @@ def train_model(
     best_params: dict[str, float] = {}
     cv_score = None
     if grid is None:
-        fitted = pipeline.fit(table)
+        fitted = fit_prepared(pipeline, table)
     else:
         found = search_settings(
             table, features, model_type, task, grid, folds, fold_by, parallelism, search_rows, **params
@@ -176,7 +189,7 @@ def train_model(
         best = min((r for r in found if r["score"] is not None), key=lambda r: order * r["score"])
         cv_score = best["score"]
         best_params = {n: type(grid[n][0])(best[n]) for n in grid}
-        fitted = model_pipeline(model_type, task, features, **{**params, **best_params}).fit(table)
+        fitted = fit_prepared(model_pipeline(model_type, task, features, **{**params, **best_params}), table)
     # a copy leaves the training summary behind, which would tie the model to the session
     fitted = fitted.copy()
     out = BloomModel(fitted, features, task, model_type, best_params=best_params)

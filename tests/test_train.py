@@ -180,3 +180,23 @@ def test_no_fold_is_empty_with_few_groups(spark):
     got = train.with_folds(df, ("location_id",), 6).collect()
     assert len(got) == 18 and {r.fold for r in got} == set(range(6))
     assert len({(r.location_id, r.fold) for r in got}) == 6
+
+
+def test_rows_are_prepared_once_and_the_model_stays_the_same(spark):
+    rng = random.Random(9)
+    rows = [(float(i % 2), rng.random() + i % 2 if i % 7 else None, rng.random()) for i in range(400)]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(v):
+        read.add(1)
+        return v
+
+    names = ["a", "b"]
+    table = spark.createDataFrame(rows, "label double, a double, b double").withColumn("b", seen("b"))
+    pipeline = train.model_pipeline("randomforest", "classification", names, numTrees=5)
+    model = train.fit_prepared(pipeline, table)
+    assert read.value <= 3 * len(rows)  # medians, scale, and the rows that the forest reads
+    plain = pipeline.fit(table)
+    assert model.stages[-1].toDebugString.split("\n")[1:] == plain.stages[-1].toDebugString.split("\n")[1:]
+    assert len(model.stages) == len(plain.stages)
